@@ -12,10 +12,13 @@ padding.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -24,6 +27,12 @@ from pyspark.sql import functions as F
 #: White space as the tokenizer's normalizer has it; no token crosses it.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
+#: ASCII marks but the apostrophe, which starts tokens of its own kind.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+#: The pattern that keeps runs of letters and runs of marks apart; with another one every new part goes through the whole tokenizer.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, sequence_cost double"
 
 
@@ -31,38 +40,77 @@ class Encoder:
     """Little-endian 32-bit ids of whole texts, with a bounded cache of the parts between white space.
 
     A part may be encoded alone because the normalizer and the pattern of the
-    tokenizer keep white space as a boundary.  A text that holds a special token's
-    spelling is encoded as a whole.
+    tokenizer keep white space as a boundary.  A part of letters with marks
+    around it, the usual case, goes to the tokenizer's model run by run; any other
+    new part goes through the whole tokenizer, and so does a text that holds a
+    special token's spelling.
     """
 
-    def __init__(self, path: str, end_id: int, cache_parts: int = 300_000) -> None:
+    def __init__(self, path: str, end_id: int, cache_parts: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.end = end_id.to_bytes(4, "little")
+        self.end = np.uint32(end_id).tobytes()
         self.bound = cache_parts
         self.cache: dict[str, bytes] = {"": b""}
-
-    def _fill(self, parts: list[str]) -> None:
-        if len(self.cache) + len(parts) > self.bound:
-            self.cache = {"": b""}
-        for part, code in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.cache[part] = b"".join(i.to_bytes(4, "little") for i in code.ids)
+        self.runs: dict[str, bytes] = {"": b""}
+        parts = json.loads(self.tokenizer.to_str())
+        steps = [x.get("type") for x in (parts["normalizer"] or {}).get("normalizers", [])]
+        cuts = [x.get("pattern", {}).get("Regex") for x in (parts["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_run = steps == ["NFC", "Replace", "Lowercase"] and cuts[:1] == [_PATTERN]
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _run(self, run: str) -> bytes:
+        spelled = run if run.isascii() else self.tokenizer.pre_tokenizer.pre_tokenize_str(run)[0][0]
+        got = self.runs[run] = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(spelled)])
+        return got
+
+    def _part(self, part: str) -> bytes:
+        if self.by_run and "Σ" not in part:
+            low = part.lower()
+            core = low.strip(_MARKS)
+            if core.isalpha() and (core.isascii() or is_normalized("NFC", core)):
+                got = self.runs.get(core) or self._run(core)
+                if len(core) == len(low):
+                    return got
+                at = low.index(core)
+                head, tail = low[:at], low[at + len(core) :]
+                return (self.runs.get(head) or self._run(head) if head else b"") + got + (self.runs.get(tail) or self._run(tail) if tail else b"")
+        return self._ids(part)
+
+    @staticmethod
+    def _parts(text: str) -> list[str]:
+        """``str.split`` also takes four control characters for white space."""
+        return _SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [_SPACE.split(t or "") for t in texts]
-        self._fill(list({p for parts in cut for p in parts if p not in self.cache}))
-        if any(p not in self.cache for parts in cut for p in parts):  # the cache was emptied
-            self._fill(list({p for parts in cut for p in parts if p not in self.cache}))
-        out = []
-        for text, parts in zip(texts, cut, strict=True):
-            if text and any(s in text for s in self.special):
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(b"".join(i.to_bytes(4, "little") for i in ids) + self.end)
-            else:
-                out.append(b"".join(map(self.cache.__getitem__, parts)) + self.end)
-        return out
+        texts = [t or "" for t in texts]
+        whole = [any(s in t for s in self.special) for t in texts]
+        cut = [[] if w else self._parts(t) for w, t in zip(whole, texts, strict=True)]
+        cache = self.cache
+        new = {p for parts in cut for p in parts if p not in cache}
+        if len(cache) + len(new) > self.bound:
+            cache = self.cache = {"": b""}
+            new = {p for parts in cut for p in parts}
+        if len(self.runs) > self.bound // 2:
+            self.runs = {"": b""}
+        for part in new:
+            cache[part] = self._part(part)
+        code = cache.__getitem__
+        return [(self._ids(t) if w else b"".join(map(code, parts))) + self.end for w, t, parts in zip(whole, texts, cut, strict=True)]
+
+
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def _encoder(path: str, end_id: int) -> Encoder:
+    """One for each Python worker, which runs many tasks."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
 
 
 class Packer:
@@ -151,7 +199,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path, end_id)
+        encoder = _encoder(tokenizer_path, end_id)
         packer = Packer(TaskContext.get().partitionId() << 33, size, linear, quadratic)
         items: list[tuple] = []
         held = 0
