@@ -3,15 +3,75 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from . import decontamination, html_text, licenses, packing, quality_rules, repeats, simhash
+from . import decontamination, html_text, licenses, packing, quality_rules, quotations, repeats, sharding, simhash, url_filters
+from .shared import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _digit(value: Column, place: int) -> Column:
+    """A hexadecimal digit of the MD5 of a text, from 0 to 15."""
+    return F.position(F.substring(F.md5(value), place, 1), F.lit("0123456789abcdef")) - 1
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """An invented block list for the hosts of ``pages``: entries come and go at dates drawn from the names."""
+    hosts = pages.select(url_filters.host_of(F.col("url")).alias("pattern")).where("pattern is not null").distinct()
+    domains = hosts.select(F.substring_index("pattern", ".", -2).alias("pattern")).distinct()
+    n, m = _digit(F.col("pattern"), 1), _digit(F.col("pattern"), 2)
+    day = lambda start, days: F.date_add(F.lit(start).cast("date"), days.cast("int"))
+    entry = lambda rows, scope, pattern, action, on: rows.select(F.lit(scope).alias("scope"), pattern.alias("pattern"), F.lit(action).alias("action"), on.alias("listed_on"))
+    pattern = F.col("pattern")
+    parts = [
+        entry(hosts.where(n < 8), "host", pattern, "block", day("2024-01-01", 20 * n)),
+        entry(hosts.where(n < 4), "host", pattern, "allow", day("2024-07-01", n)),
+        entry(domains.where(n < 8), "domain", pattern, "block", day("2024-10-01", n)),
+        entry(hosts.where(m < 8), "path", F.concat(pattern, F.lit("/en")), "allow", day("2024-03-01", 10 * m)),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (16 * _digit(F.col("url"), 1) + _digit(F.col("url"), 2)) + 100)
+    return url_filters.filter_urls(pages.withColumn("fetched_at", fetched), dated_entries(pages))
+
+
+OP1_SQL = """
+with p as (
+  select page_id, url, nullif(lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)), '') host,
+         regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) path,
+         date '2024-01-01' + cast(16 * (instr('0123456789abcdef', substr(md5(url), 1, 1)) - 1) + (instr('0123456789abcdef', substr(md5(url), 2, 1)) - 1) + 100 as int) fetched_at
+  from pages),
+h as (select distinct host pattern from p where host is not null),
+d as (select distinct array_to_string(string_split(pattern, '.')[-2:], '.') pattern from h),
+hn as (select pattern, instr('0123456789abcdef', substr(md5(pattern), 1, 1)) - 1 n, instr('0123456789abcdef', substr(md5(pattern), 2, 1)) - 1 m from h),
+dn as (select pattern, instr('0123456789abcdef', substr(md5(pattern), 1, 1)) - 1 n from d),
+e as (
+  select 'h:' || pattern k, 'block' action, date '2024-01-01' + cast(20 * n as int) listed_on from hn where n < 8
+  union all select 'h:' || pattern, 'allow', date '2024-07-01' + cast(n as int) from hn where n < 4
+  union all select 'd:' || pattern, 'block', date '2024-10-01' + cast(n as int) from dn where n < 8
+  union all select 'p:' || pattern || '/en', 'allow', date '2024-03-01' + cast(10 * m as int) from hn where m < 8),
+i as (select k, action, listed_on, lead(listed_on) over (partition by k order by listed_on) until from e),
+c as (select page_id, url, fetched_at, host, path, count(*) n_captures from p group by all),
+j as (
+  select c.*, i.k, i.action, i.listed_on,
+         row_number() over (partition by c.page_id, c.url, c.fetched_at order by case left(i.k, 1) when 'p' then 3 when 'h' then 2 when 'd' then 1 end desc nulls last) nth
+  from c left join i on (i.k = 'h:' || c.host or i.k = 'd:' || array_to_string(string_split(c.host, '.')[-2:], '.')
+                         or (i.k = 'p:' || c.host || '/en' and (c.path = '/en' or starts_with(c.path, '/en/'))))
+       and i.listed_on <= c.fetched_at and (i.until is null or c.fetched_at < i.until))
+select page_id, url, fetched_at, coalesce(action, 'none') verdict, k matched, listed_on, n_captures from j where nth = 1
+"""
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -37,11 +97,43 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append all documents, compact, and read the newest version back."""
+    base = new_path(spark, "shards")
+    sharding.append(_table(spark, sf_dir, "documents"), base)
+    sharding.compact(spark, base)
+    return sharding.read(spark, base).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+OP5_SQL = "select doc_id, length(text) n_chars, md5(text) text_md5 from documents"
+
+
+def quoted_mail(turns: DataFrame) -> DataFrame:
+    """``conversations`` as mail: each turn above the turn before it, quoted once, and the one before that, quoted twice."""
+    before = Window.partitionBy("conv_id").orderBy("turn")
+    quote = lambda n, mark: F.regexp_replace(F.lag("text", n).over(before), "(?m)^", mark)
+    mail = F.concat_ws("\n", F.coalesce("text", F.lit("")), quote(1, "> "), quote(2, "> > "))
+    return turns.withColumn("mail", mail).select("conv_id", "turn", "role", F.col("mail").alias("text"))
+
+
+def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.reply_order(quoted_mail(_table(spark, sf_dir, "conversations")))
+
+
+OP6_SQL = r"""
+with t as (
+  select conv_id, turn, role, trim(coalesce(text, ''), E' \t\n\r') as text,
+         lag(turn) over w as parent_turn, row_number() over w as nth, first_value(turn) over w as root_turn
+  from conversations window w as (partition by conv_id order by turn))
+select conv_id, turn, role, text, parent_turn, root_turn, nth - 1 as depth, nth as reply_order, least(nth - 1, 2) as n_quotes from t
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_html_text, op4_packing, op7_simhash, op8_quality_rules, op9_decontamination, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_suffix_dedup, op3_html_text, op4_packing, op5_sharding, op6_quotations, op7_simhash, op8_quality_rules, op9_decontamination, op10_license_scan)}
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op1_url_filters": OP1_SQL, "op5_sharding": OP5_SQL, "op6_quotations": OP6_SQL}
