@@ -39,6 +39,11 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _once(value: Column) -> Column:
+    """``value``, marked so that no filter is pushed below it: a filter there would compute it again for every word."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def _covered(hashes: Column) -> Column:
     """Words inside windows (three words each, one hash per window) that occur twice or more."""
     pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -53,20 +58,24 @@ def _covered(hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(_let(pairs, count))
 
 
-def text_statistics(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def text_statistics(docs: DataFrame, text: str = "text", key: str = "doc_id", row: bool = False) -> DataFrame:
     """One row per document: ``key``, the contract's counts and the learner's features.
 
     Null and empty texts have zero words and zero features.  Very long texts stay
     one row; nothing is exploded or shuffled.  Repeated rows stay repeated rows;
     other columns are dropped, so clashing names in ``docs`` do no harm.
     Windows are compared by a 64-bit hash of their three words within one text.
+    With ``row``, the whole row comes along as the struct ``row``.
     """
+    more = ["row"] if row else []
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if row else []
     text = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     words = F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t\\n\\x0B\\f\\r]"))
     base = docs.select(
         F.col(f"`{key}`").alias("key"),
-        words.alias("words"),
+        *whole,
+        _once(words).alias("words"),
         lines.alias("lines"),
         _count_of(text, SYMBOLS).alias("n_symbols"),
         _count_of(text, "A-Z").alias("n_upper"),
@@ -78,18 +87,20 @@ def text_statistics(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     hashes = F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(0), F.size(w) - 3), window)).otherwise(F.array().cast("array<bigint>"))
     base = base.select(
         "key",
+        *more,
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         "n_symbols", "n_upper", "n_digits", "n_marks",
         F.size(w).cast("long").alias("n_words"),
         F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        hashes.alias("hashes"),
+        _once(hashes).alias("hashes"),
     )
-    base = base.withColumn("n_repeat_words", _covered(F.col("hashes"))).drop("hashes")
+    base = base.withColumn("n_repeat_words", _once(_covered(F.col("hashes")))).drop("hashes")
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     return base.select(
         F.col("key").alias(key),
+        *more,
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         share("word_chars", "n_words").alias("mean_word_chars"),
         share("n_symbols", "n_words").alias("symbols_per_word"),
@@ -202,9 +213,9 @@ def decision(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(F.lit(0))
 
 
-def apply_rules(docs: DataFrame, rules: list[Rule], text: str = "text", key: str = "doc_id") -> DataFrame:
+def apply_rules(docs: DataFrame, rules: list[Rule], text: str = "text", key: str = "doc_id", row: bool = False) -> DataFrame:
     """Statistics, ``base_failed``, ``rule`` (0: none) and ``kept`` for every document."""
-    stats = text_statistics(docs, text, key)
+    stats = text_statistics(docs, text, key, row)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = stats.withColumn("base_failed", failed).withColumn("rule", decision(rules))
     return stats.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
@@ -218,3 +229,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000
     labels for a document the best counts.
     """
     return apply_rules(docs, learn_rules(labelled_sample(docs, labels, max_labelled)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_rules` keeps, with their columns as they are."""
+    rules = learn_rules(labelled_sample(docs, labels, max_labelled))
+    return apply_rules(docs, rules, row=True).where("kept").select("row.*")

@@ -236,3 +236,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, text: str
     roots = components(links(fps, radius))
     classes = stored(fps.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id")), "classes")
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their class; rows that share an id stay or go together."""
+    classes = near_duplicates(docs, words, radius, text, key)
+    first = classes.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
+    return docs.join(first.hint("shuffle_hash"), F.col(f"`{key}`") == F.col("first_id"), "left_semi")
