@@ -1,10 +1,6 @@
 """All queries of the reference's own operators, with the SQL they must agree with."""
 
-from __future__ import annotations
+from . import linking, merging, texts  # noqa: F401  the modules put their queries down when they are imported
+from .registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
