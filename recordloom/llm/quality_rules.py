@@ -158,7 +158,8 @@ def learn_rules(rows: list[dict], max_rules: int = 12, max_tests: int = 3, cuts:
     for f in FEATURES:
         values = sorted({r[f] for r in rows})
         step = max(1, len(values) / cuts)
-        edges[f] = sorted({(values[int(k * step)] + values[int(k * step) + 1]) / 2 for k in range(cuts) if int(k * step) + 1 < len(values)})
+        at = sorted({int(k * step) for k in range(cuts) if int(k * step) + 1 < len(values)})
+        edges[f] = [((values[k] + values[k + 1]) / 2, (values[k + 1] - values[k]) / (values[-1] - values[0])) for k in at]
     ordered = sorted(rows, key=lambda r: (r["doc_id"] * 2654435761) % 2**32)
     grow, prune = [r for k, r in enumerate(ordered) if k % 3], [r for k, r in enumerate(ordered) if not k % 3]
     rules: list[Rule] = []
@@ -169,18 +170,19 @@ def learn_rules(rows: list[dict], max_rules: int = 12, max_tests: int = 3, cuts:
 
     def best_test(part: list[dict]) -> tuple[float, tuple | None]:
         p0, n0 = sum(1 for r in part if not r["good"]), sum(1 for r in part if r["good"])
-        best, test = 0.0, None
+        best, test = (0.0, 0.0), None
         for f in FEATURES:
             ranked = sorted((r[f], r["good"]) for r in part)
             k = p = n = 0
-            for cut in edges[f]:
+            for cut, gap in edges[f]:
                 while k < len(ranked) and ranked[k][0] <= cut:
                     p, n, k = p + (not ranked[k][1]), n + bool(ranked[k][1]), k + 1
                 for op, a, b in (("<=", p, n), (">", p0 - p, n0 - n)):
                     gain = a * (math.log2(a / (a + b)) - math.log2(p0 / (p0 + n0))) if a >= least else 0.0
-                    if gain > best + 1e-9:
-                        best, test = gain, (f, op, cut)
-        return best, test
+                    # Of equal gains the cut in the widest gap of its feature's range.
+                    if gain > 0 and (round(gain, 6), gap) > best:
+                        best, test = (round(gain, 6), gap), (f, op, cut)
+        return best[0], test
 
     while len(rules) < max_rules:
         tests, part = [], grow

@@ -96,10 +96,13 @@ def reply_order(messages: DataFrame, text: str = "text", conv: str = "conv_id",
     parents = votes.groupBy("conv", "turn").agg(F.max_by("source", F.struct("weight", "source")).alias("parent"))
     nodes = rows.select("conv", "turn").join(parents, ["conv", "turn"], "left")
     jumps = stored(nodes.select("conv", "turn", "parent", F.col("parent").alias("up"), F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), F.coalesce("parent", "turn").alias("root")), "jumps")
+    columns = ["conv", "turn", "parent", "up", "depth", "root"]
     while not jumps.where("up is not null").isEmpty():
+        # Only messages that have not reached their root jump on; few do after some rounds.
         onward = jumps.select("conv", F.col("turn").alias("up"), F.col("up").alias("next_up"), F.col("depth").alias("more"), F.col("root").alias("next_root"))
-        longer = jumps.join(onward, ["conv", "up"], "left")
-        longer = stored(longer.select("conv", "turn", "parent", F.col("next_up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("next_root", "root").alias("root")), "jumps")
+        moved = jumps.where("up is not null").join(onward, ["conv", "up"])
+        moved = moved.select("conv", "turn", "parent", F.col("next_up").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("next_root").alias("root"))
+        longer = stored(jumps.where("up is null").select(*columns).unionByName(moved), "jumps")
         dropped(jumps)
         jumps = longer
     order = Window.partitionBy("conv").orderBy("root", "depth", "turn")

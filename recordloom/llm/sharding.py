@@ -104,20 +104,20 @@ def compact(spark: SparkSession, base: str, target: int = 64 << 20, small: int =
         if not picked:
             return version
         folder = f"{base}/shards/{uuid.uuid4().hex}"
-        plan = spark.createDataFrame(picked, "shard string, run string")
+        number = {run: k for k, run in enumerate(sorted({r for _, r in picked}))}
+        plan = spark.createDataFrame([(s, number[run]) for s, run in picked], "shard__ string, run__ int")
         rows = spark.read.parquet(*[s for s, _ in picked])
-        rows = rows.select(*[c for c in rows.columns if c != "run_"], F.col("_metadata.file_path").alias("shard")).join(F.broadcast(plan), "shard").drop("shard")
-        count = len({r for _, r in picked})
-        rows.withColumnRenamed("run", "run_").repartition(count, "run_").write.option("compression", "zstd").partitionBy("run_").parquet(folder)
-        kept = live.join(plan, "shard", "left_anti")
+        rows = rows.withColumn("shard__", F.col("_metadata.file_path")).join(F.broadcast(plan), "shard__").drop("shard__")
+        # One task for each run, which is about one target file.
+        rows.repartitionById(len(number), F.col("run__")).write.option("compression", "zstd").partitionBy("run__").parquet(folder)
+        kept = live.join(plan.select(F.col("shard__").alias("shard")), "shard", "left_anti")
         _commit(spark, base, kept.unionByName(_described(spark, folder, version + 1, small, fanout)), version + 1)
 
 
 def read(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """The rows of a version, the newest by default."""
     shards = [r.shard for r in manifest(spark, base, version).select("shard").collect()]
-    rows = spark.read.parquet(*shards)
-    return rows.drop("run_")
+    return spark.read.parquet(*shards)
 
 
 def vacuum(spark: SparkSession, base: str) -> int:
