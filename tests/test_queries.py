@@ -24,7 +24,7 @@ def duck():
 
 
 def shown(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return "null"
     if isinstance(value, (float, Decimal)):
         return f"{float(value):.9g}"
