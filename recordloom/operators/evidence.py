@@ -88,3 +88,16 @@ def failed_checks(rows: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     """``check, bad``: how many rows break each rule, in one pass."""
     counts = rows.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
     return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("bad")) for n in checks])).alias("x")).select("x.*")
+
+
+def body(title: Column, **parts: Column) -> Column:
+    """The text of a record: a title and a labelled line for each part that is there; empty ones leave no line."""
+    lines = [F.when(F.trim(c.cast("string")) != "", F.concat(F.lit(f"{label.replace('_', ' ')}: "), c.cast("string"))) for label, c in parts.items()]
+    return F.concat_ws("\n", title, *lines)
+
+
+def case_texts(messages: DataFrame, case: str, order: str, alias: str, top: str) -> DataFrame:
+    """``case, text``: a case's messages in order as one text to read, each under its alias."""
+    shown = F.concat(F.lit("## "), F.col(alias), F.lit("\n"), F.coalesce(F.nullif(F.trim(top), F.lit("")), F.lit("(no new text)")))
+    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(alias).alias("a"), shown.alias("t"))))
+    return messages.groupBy(case).agg(F.array_join(F.transform(listed, lambda x: x["t"]), "\n\n").alias("text"))
