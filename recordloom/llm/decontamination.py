@@ -3,8 +3,10 @@
 A seed is a fixed mask laid over consecutive words: the words under its ones are
 hashed, those under its zeros are ignored, so a seed survives substitutions.
 Seeds of documents are joined with seeds of benchmark items by hash; each hit
-fixes an alignment, which is then verified word by word and extended to the best
-stretch in which a mismatch costs as much as four matches earn.
+fixes an alignment, which is then verified word by word: what counts is the
+best stretch, in which a mismatch costs as much as four matches earn, or if that is
+too short, any other with fewer than one mismatch in five.  The masks are chosen so
+that no such stretch is without a seed.
 
 The benchmark goes to the tasks in blocks of a checked size, each block in one
 pass over the documents, which are read where they lie and never shuffled.
@@ -22,16 +24,29 @@ from pyspark.sql import functions as F
 
 from .kernels import ALNUM, blocks, words
 
-#: Six words each, over seven to ten.
-MASKS = ("1110111", "101101101", "110101011", "1100110011")
-#: For items shorter than that: every word of a run.
-SHORT = ("11111", "111111")
+#: Masks by the least number of equal words they are for.  Every stretch with so many and fewer than one mismatch in five
+#: holds one of the masks: one with twice as many has a half that is such a stretch too, and the rest are enumerated in a test.
+MASKS = {
+    8: ("1111011", "110010111", "111111", "101100111"),
+    5: ("111011", "11111", "111101", "110111", "101111"),
+    4: ("1111", "11011"),
+    3: ("111",),
+    2: ("11",),
+    1: ("1",),
+}
+#: Items of fewer words are not searched.
+FEWEST = 5
 
 SCHEMA = "doc_id long, item_id long, n_match long, n_aligned long, item_words long, first_word long, last_word long"
 
 _MIX = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
+def needed(words: int, least: int, share: float) -> int:
+    """How many equal words an item of ``words`` words needs."""
+    return max(1, min(least, int(np.ceil(share * words))))
+
+
 def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     """A hash for each place where ``mask`` fits."""
     n = len(hashes) - len(mask) + 1
@@ -56,7 +71,7 @@ class Benchmark:
     tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]
 
     @staticmethod
-    def of(rows: list[tuple[int, str]]) -> Benchmark:
+    def of(rows: list[tuple[int, str]], least: int = 13, share: float = 0.8) -> Benchmark:
         items, spelled = [], []
         for _, text in rows:
             data = np.frombuffer((text or "").encode(), dtype=np.uint8)
@@ -64,10 +79,11 @@ class Benchmark:
             items.append(found.hashes)
             spelled.append([found.word(k) for k in range(len(found.starts))])
         tables = []
-        for mask in MASKS + SHORT:
+        bound = [next(n for n in MASKS if n <= needed(len(hashes), least, share)) for hashes in items]
+        for n, mask in ((n, mask) for n, masks in MASKS.items() for mask in masks):
             got, item, place = [], [], []
             for k, hashes in enumerate(items):
-                if mask in SHORT and len(hashes) >= len(MASKS[0]):
+                if bound[k] != n or len(hashes) < FEWEST:
                     continue
                 s = seeds(hashes, mask)
                 got.append(s)
@@ -89,6 +105,19 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def fullest_stretch(equal: np.ndarray) -> tuple[int, int]:
+    """The stretch with the most matches of all with fewer than one mismatch in five; of equal ones the shortest, then the first."""
+    at = np.flatnonzero(equal)
+    if not len(at):
+        return 0, 0
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -4))])
+    # For each match as the first, the last match behind which the sum of +1 and -4 is still larger than before the first.
+    beyond = np.maximum.accumulate(total[at + 1][::-1])
+    last = len(at) - 1 - np.searchsorted(beyond, total[at], "right")
+    k = int(np.lexsort((at, at[last] - at, np.arange(len(at)) - last))[0])
+    return int(at[k]), int(at[last[k]]) + 1
+
+
 def hits(bench: Benchmark, data: np.ndarray, offsets: np.ndarray, least: int, share: float) -> Iterator[tuple]:
     """``(text number, item number, matches, aligned, first word, last word)``, the best alignment of each pair."""
     found = words(data, offsets, ALNUM)
@@ -117,9 +146,16 @@ def hits(bench: Benchmark, data: np.ndarray, offsets: np.ndarray, least: int, sh
         own = bench.items[item]
         a, b = max(start, int(found.first[text])), min(start + len(own), int(found.first[text + 1]))
         equal = found.hashes[a:b] == own[a - start : b - start]
+        need = needed(len(own), least, share)
+        if np.count_nonzero(equal) < need:
+            continue
+        for k in np.flatnonzero(equal).tolist():
+            equal[k] = found.word(a + k) == bench.spelled[item][a - start + k]
         s, e = best_stretch(equal)
-        match = sum(found.word(a + k) == bench.spelled[item][a - start + k] for k in range(s, e) if equal[k])
-        if match >= min(least, np.ceil(share * len(own))):
+        if np.count_nonzero(equal[s:e]) < need:
+            s, e = fullest_stretch(equal)
+        match = int(np.count_nonzero(equal[s:e]))
+        if match >= need:
             first = a + s - int(found.first[text])
             row = (match, e - s, first, first + e - s - 1)
             if (text, item) not in best or (row[0], -row[2]) > (best[text, item][0], -best[text, item][2]):
@@ -162,7 +198,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     out = None
     for items in benchmark_blocks(benchmark, bound):
-        shared = spark.sparkContext.broadcast(Benchmark.of(items))
+        shared = spark.sparkContext.broadcast(Benchmark.of(items, least, share))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             bench = shared.value
@@ -185,7 +221,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13,
     spark = docs.sparkSession
     schema, column = docs.schema, docs.columns.index(text)
     for items in benchmark_blocks(benchmark, bound):
-        shared = spark.sparkContext.broadcast(Benchmark.of(items))
+        shared = spark.sparkContext.broadcast(Benchmark.of(items, least, share))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

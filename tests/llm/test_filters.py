@@ -1,6 +1,7 @@
 """URL filters, quality rules, main text, license scans and decontamination."""
 
 import datetime as dt
+import itertools
 import random
 import re
 from collections import Counter
@@ -206,6 +207,36 @@ def test_masks_survive_each_substitution():
         assert list(decontamination.hits(bench, data, offsets, 10, 0.8)), k
 
 
+def documented_overlap(equal, need):
+    """Brute force: some stretch has ``need`` matches and fewer than one mismatch in five."""
+    return any(sum(equal[a:b]) >= need and 5 * (b - a - sum(equal[a:b])) < b - a for a in range(len(equal)) for b in range(a + 1, len(equal) + 1))
+
+
+def test_each_documented_overlap_is_found():
+    """Items of 5 to 20 words with up to three words changed, at every place, at the production parameters."""
+    for n in range(5, 21):
+        words = [f"w{k}" for k in range(n)]
+        bench = decontamination.Benchmark.of([(1, " ".join(words))])
+        changes = [c for m in range(4) for c in itertools.combinations(range(n), m)]
+        texts = [" ".join("zz" if k in c else w for k, w in enumerate(words)).encode() for c in changes]
+        data, offsets = decontamination.np.frombuffer(b"".join(texts), dtype="u1"), decontamination.np.cumsum([0, *map(len, texts)])
+        found = {row[0] for row in decontamination.hits(bench, data, offsets, 13, 0.8)}
+        need = min(13, -(-4 * n // 5))
+        assert found == {t for t, c in enumerate(changes) if documented_overlap([k not in c for k in range(n)], need)}, n
+
+
+def test_masks_cover_every_stretch():
+    """For each bound, all least stretches: no shorter one will do, and none has twice the bound's words."""
+    for bound, masks in decontamination.MASKS.items():
+        for apart in range(bound):
+            n = max(bound, 4 * apart + 1) + apart
+            if apart and n - apart >= 2 * bound:
+                break
+            for c in itertools.combinations(range(1, n - 1), apart):
+                row = "".join("0" if k in c else "1" for k in range(n))
+                assert any(all(row[a + j] == "1" for j, one in enumerate(m) if one == "1") for m in masks for a in range(n - len(m) + 1)), (bound, row)
+
+
 def test_columns_do_not_clash(spark):
     table = spark.createDataFrame([(1, "some text here", "a", "b", "c", "d")], "doc_id long, text string, n_words string, key string, words string, row string")
     assert quality_rules.text_statistics(table).count() == 1
