@@ -9,6 +9,11 @@ up the differences in the bits that a node shares beyond its parent, and drops
 whole nodes when the sum passes the radius.  A node all of whose members are
 already in the searcher's class is dropped too, so a bucket yields a spanning
 set of links rather than all pairs, and classes are joined across buckets.
+
+The pipeline's stage, :func:`one_of_near_copies`, asks for more than fingerprints of 64
+bits can tell: near copies by the overlap of their shingles, whose fingerprints
+lie some ten bits apart.  It takes candidates from least-value keys of
+the same shingle hashes and compares their sets exactly.
 """
 
 from __future__ import annotations
@@ -23,10 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stored
+from .shared import dropped, stored
 
 SEED = 42
 FAN = 16
+#: Keys of a document for near copies, and the least values that each is made of.
+BANDS, ROWS = 24, 4
+_XOR, _TIMES = (np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 #: ASCII capitals to small letters.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -238,8 +246,108 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, text: str
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their class; rows that share an id stay or go together."""
-    classes = near_duplicates(docs, words, radius, text, key)
+def shingle_set(text: bytes, words: int) -> tuple[np.ndarray, int]:
+    """The distinct hashes of a text's shingles in order, and a hash of them all."""
+    hashes = np.unique(np.array(shingle_hashes(text, words), dtype=np.uint64))
+    return hashes, int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A hash for each of ``BANDS`` groups of ``ROWS`` least values of the set."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for lo in range(0, len(hashes), 4096):
+            mixed = (hashes[lo : lo + 4096, None] ^ _XOR) * _TIMES
+            np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0), out=least)
+    found = [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, ROWS))]
+    return np.array(found, dtype=np.uint64).view(np.int64).tolist()
+
+
+def sketches(rows: DataFrame, words: int) -> DataFrame:
+    """``doc_id, node, size, keys`` for each of ``rows`` (``doc_id, text``); ``node`` stands for the set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).cast(pa.large_binary())
+            got = [shingle_set(texts[k].as_py() or b"", words) for k in range(len(texts))]
+            columns = [pa.array([n for _, n in got], pa.int64()), pa.array([len(h) for h, _ in got], pa.int64()), pa.array([band_keys(h) if len(h) else [] for h, _ in got], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "node", "size", "keys"])
+
+    return rows.mapInArrow(run, "doc_id long, node long, size long, keys array<long>")
+
+
+def alike(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int, share: float) -> DataFrame:
+    """The rows of ``pairs`` (``a, b``) whose sets overlap by ``share`` or more, stored; ``nodes`` has a ``doc_id`` for each node."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).cast(pa.large_binary())
+            got = [shingle_set(texts[k].as_py() or b"", words) for k in range(len(texts))]
+            yield pa.RecordBatch.from_arrays([pa.array([n for _, n in got], pa.int64()), pa.array([h.tobytes() for h, _ in got], pa.binary())], ["node", "hashes"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for k in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[k].as_py(), dtype=np.uint64) for c in (2, 3))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= share * (len(x) + len(y) - common) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ids = nodes.join(needed, "node", "left_semi").select("doc_id").distinct()
+    # Rows that share an id may have other sets; those that no pair asks for find no partner below.
+    sets = rows.join(ids, "doc_id", "left_semi").select("text").mapInArrow(shingles, "node long, hashes binary")
+    sets = stored(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingle-sets")
+    of = lambda end: sets.select(F.col("node").alias(end), F.col("hashes").alias(f"hashes_{end}"))
+    out = stored(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "hashes_a", "hashes_b").mapInArrow(compare, "a long, b long"), "links")
+    dropped(sets)
+    return out
+
+
+def near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``doc_id, component_id`` for every row of ``docs`` with an id.
+
+    Documents whose sets of ``words``-word shingles overlap by ``share`` or more
+    (intersection by union) are linked; ``component_id`` is the smallest id
+    reachable.  Texts without words are copies of each other.
+
+    Candidates share one of ``BANDS`` keys of ``ROWS`` least values each: a pair at
+    0.8 has none with a chance of 3 in a million.  First the sets of a key
+    are compared with its least one; then all that are still in different classes
+    are compared with each other, so a large class costs no square of its size.
+    """
+    rows = docs.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    found = stored(sketches(rows, words), "sketches")
+    nodes = stored(found.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys")), "sets")
+    dealt = nodes.select("node", "size", F.explode("keys").alias("band"))
+    centres = dealt.groupBy("band").agg(F.min(F.struct("node", "size")).alias("c"), F.count("*").alias("n")).where("n > 1").select("band", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"))
+    near = lambda x, y: F.least(x, y) >= F.lit(share) * F.greatest(x, y) - 1e-9
+    first = stored(dealt.join(centres, "band").where((F.col("node") != F.col("centre")) & near("size", "centre_size")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
+    links = alike(first, nodes, rows, words, share)
+    roots = components(links)
+    classed = stored(dealt.join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("class")), "classed")
+    mixed = classed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band")
+    open_ = stored(classed.join(mixed, "band", "left_semi"), "open")
+    of = lambda end: open_.select("band", F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("class").alias(f"class_{end}"))
+    pairs = of("a").join(of("b"), "band").where((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & near("size_a", "size_b")).select("a", "b").distinct()
+    more = alike(stored(pairs.join(first, ["a", "b"], "left_anti"), "candidates"), nodes, rows, words, share)
+    roots = components(links.unionByName(more))
+    classes = found.select("doc_id", "node").join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
+    least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return classes.join(least, "root").select("doc_id", "component_id")
+
+
+def _first_of(docs: DataFrame, classes: DataFrame, key: str) -> DataFrame:
     first = classes.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
     return docs.join(first.hint("shuffle_hash"), F.col(f"`{key}`") == F.col("first_id"), "left_semi")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their class; rows that share an id stay or go together."""
+    return _first_of(docs, near_duplicates(docs, words, radius, text, key), key)
+
+
+def one_of_near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The same for the classes of :func:`near_copies`."""
+    return _first_of(docs, near_copies(docs, words, share, text, key), key)

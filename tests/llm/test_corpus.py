@@ -134,6 +134,30 @@ def test_simhash_agrees_with_brute_force(spark):
     assert simhash.near_duplicates(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_one_of_near_copies(spark):
+    """Texts of 64 to 250 words with one to six words changed, against brute force over all pairs."""
+    rng = random.Random(4)
+    texts = []
+    for n in (64, 90, 120, 180, 250):
+        base = [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+        texts.append(" ".join(base))
+        for changed in range(1, 7):
+            at = set(rng.sample(range(n), changed))
+            texts.append(" ".join("zz" if k in at else w for k, w in enumerate(base)))
+        # A chain: each is a near copy of the one before it, the ends are not of each other.
+        texts += [" ".join(base[k:] + [f"c{n}x{j}" for j in range(k)]) for k in range(4, n // 2, 4)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    parent = list(range(len(texts)))
+    for y in range(len(texts)):
+        for x in range(y):
+            if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]) and parent[x] != parent[y]:
+                low, high = sorted((parent[x], parent[y]))
+                parent = [low if p == high else p for p in parent]
+    left = simhash.one_of_near_copies(docs(spark, texts))
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(parent))
+    assert len(set(parent)) < len(texts) // 2
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_gray_index_is_exact(seed):
     rng = np.random.default_rng(seed)
