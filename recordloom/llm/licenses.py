@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line.  A template matches a block when the block holds at least
+A block is a line or, with ``wrapped``, any run of words inside a paragraph that
+is no longer than the template divided by the threshold.  A template matches a block when the block holds at least
 ``threshold`` of the template's distinct words.  Template words are ordered by
 their document frequency in all documents, rarest first; a match must hold one
 of the first ``n - ceil(threshold * n) + 1`` words (prefix filter), have enough
@@ -13,6 +14,7 @@ read where they lie and never shuffled.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import ALNUM, blocks, word_hash, words
+from .kernels import ALNUM, Words, blocks, word_hash, words
 
 #: Fixed by the contract: phrases, and the labels they stand for.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -51,14 +53,15 @@ TEMPLATES = {
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_blocks long"
 
 
-def template_words(templates: dict[str, list[str]]) -> list[tuple[str, frozenset[bytes]]]:
+def template_words(templates: dict[str, list[str]]) -> list[tuple[str, frozenset[bytes], int]]:
+    """Label, distinct words and number of words of each template."""
     out = []
     for label, texts in templates.items():
         for text in texts:
             data = np.frombuffer(text.encode(), dtype=np.uint8)
             found = words(data, np.array([0, len(data)]), ALNUM)
-            out.append((label, frozenset(found.word(k) for k in range(len(found.starts)))))
-    return [(label, tokens) for label, tokens in out if tokens]
+            out.append((label, frozenset(found.word(k) for k in range(len(found.starts))), len(found.starts)))
+    return [(label, tokens, n) for label, tokens, n in out if tokens]
 
 
 def frequencies(docs: DataFrame, vocabulary: set[bytes], text: str = "text") -> dict[bytes, int]:
@@ -86,13 +89,14 @@ def frequencies(docs: DataFrame, vocabulary: set[bytes], text: str = "text") ->
 class Index:
     """Templates with their words rarest first, and what each prefix word leads to."""
 
-    def __init__(self, templates: list[tuple[str, frozenset[bytes]]], counts: dict[bytes, int], threshold: float) -> None:
-        self.templates, self.needed, self.leads = [], [], {}
-        for t, (label, tokens) in enumerate(templates):
+    def __init__(self, templates: list[tuple[str, frozenset[bytes], int]], counts: dict[bytes, int], threshold: float) -> None:
+        self.templates, self.needed, self.bounds, self.leads = [], [], [], {}
+        for t, (label, tokens, n) in enumerate(templates):
             order = sorted(tokens, key=lambda w: (counts.get(w, 0), w))
             needed = max(1, math.ceil(threshold * len(order) - 1e-9))
             self.templates.append((label, order))
             self.needed.append(needed)
+            self.bounds.append(math.ceil(n / threshold - 1e-9))
             for place, word in enumerate(order[: len(order) - needed + 1]):
                 self.leads.setdefault(word, []).append((t, place))
 
@@ -111,18 +115,60 @@ class Index:
                 yield label, common / len(order)
 
 
-def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, phrases: dict[str, str] | None = None, threshold: float = 0.85, text: str = "text", key: str = "doc_id") -> DataFrame:
+def most_in_run(at: list[int], said: list[bytes], bound: int) -> int:
+    """The most distinct words of ``said``, which stand at ``at``, in a run of ``bound`` words."""
+    most, lo, held = 0, 0, Counter()
+    for hi, place in enumerate(at):
+        held[said[hi]] += 1
+        while at[lo] <= place - bound:
+            held[said[lo]] -= 1
+            if not held[said[lo]]:
+                del held[said[lo]]
+            lo += 1
+        most = max(most, len(held))
+    return most
+
+
+def runs(index: Index, found: Words, breaks: np.ndarray, hits: np.ndarray) -> Iterator[tuple[int, str, float, int]]:
+    """Text, label, share and first word of the paragraph for each template in a run of words; ``hits``: prefix words."""
+    line, of = np.searchsorted(breaks, found.starts), found.text_of(np.arange(len(found.starts)))
+    first = np.append(np.flatnonzero(np.concatenate([[True], (np.diff(line) > 1) | (np.diff(of) > 0)])), len(line))
+    places: dict[tuple[int, int], list[int]] = {}
+    for k in hits.tolist():
+        for t, _ in index.leads.get(found.word(k), ()):
+            p = int(np.searchsorted(first, k, "right")) - 1
+            places.setdefault((p, t), []).append(k)
+    for (p, t), at in places.items():
+        label, order = index.templates[t]
+        bound, tokens = index.bounds[t], set(order)
+        if first[p + 1] - first[p] < index.needed[t]:
+            continue
+        # Every run that matches holds a prefix word: look at the words around them, each once.
+        near: dict[int, bytes] = {}
+        done = int(first[p])
+        for k in at:
+            for j in range(max(done, k - bound + 1), min(int(first[p + 1]), k + bound)):
+                if (word := found.word(j)) in tokens:
+                    near[j] = word
+            done = max(done, min(int(first[p + 1]), k + bound))
+        common = most_in_run(list(near), list(near.values()), bound)
+        if common >= index.needed[t]:
+            yield int(of[first[p]]), label, common / len(order), int(first[p])
+
+
+def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, phrases: dict[str, str] | None = None, threshold: float = 0.85, text: str = "text", key: str = "doc_id", wrapped: bool = False) -> DataFrame:
     """One row per row of ``docs`` (``SCHEMA``).
 
     ``score`` is the largest share of a template found in a block, 1 where a
     phrase stands, 0 where nothing is found; ``n_blocks`` counts the lines that
-    matched a template.  Null and empty texts have no words and no labels;
+    matched a template, with ``wrapped`` the paragraphs.  A paragraph ends at a line
+    without words.  Null and empty texts have no words and no labels;
     repeated rows are scanned each for itself; an empty table gives no rows;
     other columns are ignored.
     """
     phrases = PHRASES if phrases is None else phrases
     wanted = template_words(TEMPLATES if templates is None else templates)
-    vocabulary = {w for _, tokens in wanted for w in tokens}
+    vocabulary = {w for _, tokens, _ in wanted for w in tokens}
     counts = frequencies(docs, vocabulary, text) if vocabulary else {}
     spelled = [([w.encode() for w in p.split()], label) for p, label in phrases.items()]
 
@@ -148,10 +194,17 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, phrases
                             base[d].append((int(k - first[d]), label))
                 extra: list[dict[str, float]] = [{} for _ in range(count)]
                 matched = [0] * count
+                paragraphs: list[set[int]] = [set() for _ in range(count)]
                 if len(prefix) and len(found.hashes):
                     at = np.minimum(np.searchsorted(prefix, found.hashes), len(prefix) - 1)
                     hits = np.flatnonzero(prefix[at] == found.hashes)
                     breaks = np.flatnonzero(data == 10)
+                    if wrapped:
+                        for d, label, share, paragraph in runs(index, found, breaks, hits):
+                            extra[d][label] = max(share, extra[d].get(label, 0.0))
+                            paragraphs[d].add(paragraph)
+                        matched = [len(p) for p in paragraphs]
+                        hits = hits[:0]
                     lines = np.searchsorted(breaks, found.starts[hits])
                     docs_of = found.text_of(hits)
                     seen = None

@@ -94,7 +94,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"))
+    return licenses.scan(_table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontamination, html_text, licenses, quality_rules, url_filters
+from recordloom.llm import decontamination, html_text, licenses, quality_rules, queries, url_filters
 
 DOCS = "doc_id long, text string, extra string"
 WORDS = [f"w{k}" for k in range(400)]
@@ -160,6 +160,16 @@ def test_license_base_and_templates(spark):
     assert licenses.scan(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_wrapped_notices_and_long_lines(spark, tmp_path):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\n{}of this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    spread = " ".join(w + " filler" * 40 for w in "this work has been released into the public domain".split())
+    texts = [mit.format(""), mit.format(" * "), bsd, "x\n\n" + mit.format("\n"), spread, "much " * 300 + "this work has been released into the public domain" + " more" * 300]
+    docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.labels, r.n_blocks) for r in queries.op10_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {0: ("mit", 1), 1: ("mit", 1), 2: ("bsd", 1), 3: ("", 0), 4: ("", 0), 5: ("public-domain", 1)}
+
+
 def test_license_join_is_exact(spark):
     rng = random.Random(7)
     vocabulary = [f"t{k}" for k in range(14)]
