@@ -3,7 +3,8 @@
 Messages are parsed into their own text and quoted passages with nesting levels.
 Passages and lines are normalised and hashed; a quoted one belongs to the latest
 earlier message of its conversation that says the same.  What a message quotes at
-level one votes for its parent.  Depth and root come from pointer jumping, and a
+level one votes for its parent, or if nothing of that is found, what it quotes at
+the least deeper level of which something is.  Depth and root come from pointer jumping, and a
 conversation is ordered so that each message follows the one it replies to.
 """
 
@@ -88,12 +89,12 @@ def reply_order(messages: DataFrame, text: str = "text", conv: str = "conv_id",
     rows = parsed(messages, text, [conv, turn, role])
     one = Window.partitionBy("conv", "turn").orderBy("role", "own", "n_quotes")
     rows = stored(rows.withColumn("nth", F.row_number().over(one)).where("nth = 1").drop("nth"), "messages")
-    said = rows.select("conv", "turn", F.explode("said").alias("s")).select("conv", "turn", "s.hash", "s.level", "s.weight").where("level <= 1")
+    said = rows.select("conv", "turn", F.explode("said").alias("s")).select("conv", "turn", "s.hash", "s.level", "s.weight")
     # The latest earlier message that says the same: one pass over each passage of a conversation.
     earlier = Window.partitionBy("conv", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    found = said.withColumn("source", F.max(F.when(F.col("level") == 0, F.col("turn"))).over(earlier)).where("level = 1 and source is not null")
-    votes = found.groupBy("conv", "turn", "source").agg(F.sum("weight").alias("weight"))
-    parents = votes.groupBy("conv", "turn").agg(F.max_by("source", F.struct("weight", "source")).alias("parent"))
+    found = said.withColumn("source", F.max(F.when(F.col("level") == 0, F.col("turn"))).over(earlier)).where("level >= 1 and source is not null")
+    votes = found.groupBy("conv", "turn", "level", "source").agg(F.sum("weight").alias("weight"))
+    parents = votes.groupBy("conv", "turn").agg(F.max_by("source", F.struct(-F.col("level"), "weight", "source")).alias("parent"))
     nodes = rows.select("conv", "turn").join(parents, ["conv", "turn"], "left")
     jumps = stored(nodes.select("conv", "turn", "parent", F.col("parent").alias("up"), F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), F.coalesce("parent", "turn").alias("root")), "jumps")
     columns = ["conv", "turn", "parent", "up", "depth", "root"]

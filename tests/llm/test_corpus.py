@@ -271,6 +271,15 @@ def test_reply_order(spark):
     assert quotations.reply_order(table.limit(0)).count() == 0
 
 
+def test_deeper_quotes_find_an_ancestor(spark):
+    rows = [
+        (1, 0, "a", "First words"), (1, 1, "b", "Second words\n> First words"), (1, 2, "a", "Inner reply trimmed\n> > First words"),
+        (1, 3, "b", "Parent missing\n> not in the table\n> > Second words\n> > > First words"), (1, 4, "a", "Level one first\n> Second words\n> > First words\n> > Inner reply trimmed"),
+    ]
+    got = {r.turn: (r.parent_turn, r.depth) for r in quotations.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {0: (None, 0), 1: (0, 1), 2: (0, 1), 3: (1, 2), 4: (1, 2)}
+
+
 # ---- pipeline
 
 
