@@ -145,12 +145,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int) -> list[dict
     return [r.asDict() for r in stats.select("doc_id", "good", *FEATURES).collect()]
 
 
-def learn_rules(rows: list[dict], max_rules: int = 12, max_tests: int = 3, cuts: int = 64, precision: float = 0.97, least: int = 5) -> list[Rule]:
+def evidence(bad: int, good: int, rate: float) -> float:
+    """Likelihood-ratio statistic of a rule that covers ``bad`` and ``good`` rows where a share ``rate`` of all rows is bad (one degree of freedom)."""
+    n = bad + good
+    part = lambda seen, expected: seen * math.log(seen / expected) if seen else 0.0
+    return 2 * (part(bad, n * rate) + part(good, n * (1 - rate)))
+
+
+def learn_rules(rows: list[dict], max_rules: int = 12, max_tests: int = 3, cuts: int = 64, precision: float = 0.97, least: int = 5, significance: float = 10.83) -> list[Rule]:
     """Sequential covering for ``good == 0``.
 
     Two thirds of the rows grow a rule test by test (FOIL's gain); the rest prune
-    it from its end and decide whether it stays (Laplace precision of at least
-    ``precision`` on all rows left).  Covered rows go, and the next rule is grown.
+    it from its end and decide whether it stays: at least ``precision`` of all the rows it covers
+    are bad, and on the rows that growing has not seen its :func:`evidence` against the
+    share of bad rows passes ``significance`` (10.83 is one chance in a thousand), so
+    few labels ask for a purer rule and no count of them switches the method off.
+    Covered rows go, and the next rule is grown.
     """
     if not rows:
         return []
@@ -168,6 +178,13 @@ def learn_rules(rows: list[dict], max_rules: int = 12, max_tests: int = 3, cuts:
         got = [r["good"] for r in part if rule.holds(r)]
         return sum(1 for g in got if not g), sum(1 for g in got if g)
 
+    rate = sum(1 for r in rows if not r["good"]) / len(rows)
+
+    def sure(rule: Rule) -> bool:
+        seen, unseen = counts(grow, rule), counts(prune, rule)
+        bad, good = seen[0] + unseen[0], seen[1] + unseen[1]
+        return bad >= precision * (bad + good) and unseen[0] > rate * sum(unseen) and evidence(*unseen, rate) > significance
+
     def best_test(part: list[dict]) -> tuple[float, tuple | None]:
         p0, n0 = sum(1 for r in part if not r["good"]), sum(1 for r in part if r["good"])
         best, test = (0.0, 0.0), None
@@ -196,12 +213,9 @@ def learn_rules(rows: list[dict], max_rules: int = 12, max_tests: int = 3, cuts:
             break
         worth = lambda rule: (lambda p, n: (p - n) / (p + n) if p + n else -1.0)(*counts(prune, rule))
         rule = max((Rule(tuple(tests[:k])) for k in range(len(tests), 0, -1)), key=worth)
-        p, n = (a + b for a, b in zip(counts(grow, rule), counts(prune, rule), strict=True))
-        if p < least or (p + 1) / (p + n + 2) < precision:
-            rule = Rule(tuple(tests))
-            p, n = (a + b for a, b in zip(counts(grow, rule), counts(prune, rule), strict=True))
-            if p < least or (p + 1) / (p + n + 2) < precision:
-                break
+        rule = next((r for r in (rule, Rule(tuple(tests))) if sure(r)), None)
+        if rule is None:
+            break
         rules.append(rule)
         grow, prune = ([r for r in part if not rule.holds(r)] for part in (grow, prune))
     return rules

@@ -98,10 +98,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append all documents, compact, and read the newest version back."""
-    base = new_path(spark, "shards")
-    sharding.append(_table(spark, sf_dir, "documents"), base)
-    sharding.compact(spark, base)
+    """Append all documents in two arrivals, English and the rest, compact after each, and read the newest version back."""
+    base, docs = new_path(spark, "shards"), _table(spark, sf_dir, "documents")
+    english = F.col("lang").eqNullSafe("en")
+    for arrival in (docs.where(~english), docs.where(english)):
+        sharding.append(arrival, base)
+        sharding.compact(spark, base)
     return sharding.read(spark, base).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 

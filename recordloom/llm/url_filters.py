@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 #: Patterns from broad to narrow: a domain with all below it, one host, a path of one host.
 SCOPES = ("domain", "host", "path")
 
@@ -27,10 +29,15 @@ def path_of(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """``key, action, listed_on, until`` (exclusive, null: still active) from ``scope, pattern, action, listed_on``.
 
-    Of several actions for one pattern and date, ``block`` wins.  Entries with a
-    null in any of the four, or an unknown scope, are no entries.
+    Hosts are compared in small letters, paths as they are written; a final slash
+    of a path makes no difference.  Of several actions for one pattern and date,
+    ``block`` wins.  Entries with a null in any of the four, or an unknown scope,
+    are no entries.
     """
-    key = F.concat(F.substring("scope", 1, 1), F.lit(":"), F.lower("pattern"))
+    at = F.locate("/", F.col("pattern"))
+    host = F.rtrim(F.lower(F.when((F.col("scope") == "path") & (at > 0), F.substring_index("pattern", "/", 1)).otherwise(F.col("pattern"))), F.lit("."))
+    path = F.when((F.col("scope") == "path") & (at > 0), F.rtrim(F.expr("substring(pattern, locate('/', pattern))"), F.lit("/"))).otherwise(F.lit(""))
+    key = F.concat(F.substring("scope", 1, 1), F.lit(":"), host, path)
     known = entries.where(F.col("scope").isin(*SCOPES) & F.col("pattern").isNotNull() & F.col("action").isNotNull() & F.col("listed_on").isNotNull())
     dated = known.groupBy(key.alias("key"), "listed_on").agg(F.max_by("action", F.struct(F.col("action") == "block", "action")).alias("action"))
     return dated.withColumn("until", F.lead("listed_on").over(Window.partitionBy("key").orderBy("listed_on")))
@@ -61,7 +68,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetch
     """
     base = captures.select(F.col(f"`{key}`").alias("key_"), F.col(f"`{url}`").alias("url_"), F.col(f"`{fetched}`").alias("at_"))
     base = base.groupBy("key_", "url_", "at_").agg(F.count("*").alias("n_captures"))
-    held = intervals(entries).cache()
+    held = stored(intervals(entries), "intervals")
     small = held.limit(broadcast_rows + 1).count() <= broadcast_rows
     probes = base.select("key_", "url_", "at_", F.explode(keys_of(F.col("url_"))).alias("k")).select("key_", "url_", "at_", "k.rank", "k.key")
     active = (F.col("listed_on") <= F.col("at_")) & (F.col("until").isNull() | (F.col("at_") < F.col("until")))

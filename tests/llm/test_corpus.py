@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import public_tokenizers
@@ -227,14 +228,15 @@ def test_packing_balances_costs():
 def test_sharding(spark, tmp_path):
     base = str(tmp_path / "store")
     rows = lambda a, b: spark.range(a, b).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit("r").alias("run"), F.lit("s").alias("shard"))
-    assert sharding.append(rows(0, 0), base) == 0
+    assert sharding.append(rows(0, 0), base) == 1
+    assert sharding.read(spark, base).columns == ["id", "text", "run", "shard"] and sharding.read(spark, base).isEmpty()
     for k in range(4):
-        assert sharding.append(rows(1000 * k, 1000 * (k + 1)).coalesce(1), base, shard_rows=100, small=1 << 12) == k + 1
+        assert sharding.append(rows(1000 * k, 1000 * (k + 1)).coalesce(1), base, shard_rows=100, small=1 << 12) == k + 2
     before = sharding.manifest(spark, base).count()
     assert before == 40
     version = sharding.compact(spark, base, target=1 << 16, small=1 << 12)
     after = sharding.manifest(spark, base)
-    assert version == 5
+    assert version == 6
     assert after.count() < before / 4
     assert after.agg(F.sum("n_rows")).first()[0] == 4000
     assert sharding.compact(spark, base, target=1 << 16, small=1 << 12) == version  # nothing left to merge
@@ -242,13 +244,31 @@ def test_sharding(spark, tmp_path):
     assert got.columns == ["id", "text", "run", "shard"]
     assert got.exceptAll(rows(0, 4000)).isEmpty()
     assert got.count() == 4000
-    assert sharding.read(spark, base, 2).count() == 2000  # older versions stay readable
+    assert sharding.read(spark, base, 3).count() == 2000  # older versions stay readable
     with pytest.raises(RuntimeError):
-        sharding._commit(spark, base, after, version)
-    assert sharding.vacuum(spark, base) == before
+        sharding._commit(spark, base, after, version, got.schema)
+    assert sharding.vacuum(spark, base) >= before  # and the files without rows of the first arrival
+    assert sharding.vacuum(spark, base) == 0
     assert sharding.read(spark, base).count() == 4000
 
 
+def test_shards_with_clashing_columns_and_two_writers(spark, tmp_path):
+    base = str(tmp_path / "store")
+    rows = spark.range(400).select(F.col("id").alias("Run__"), F.lit("x").alias("shard__"), F.lit(None).cast("string").alias("run___"))
+    for _ in range(2):
+        sharding.append(rows.repartition(3), base, shard_rows=20, small=1 << 9)
+        sharding.compact(spark, base, target=1 << 14, small=1 << 9)
+    got = sharding.read(spark, base)
+    assert got.columns == rows.columns and got.count() == 800 and got.distinct().count() == 400
+    with pytest.raises(ValueError, match="columns differ"):
+        sharding.append(spark.range(3), base)
+    # Writers that start at once: each arrival is in the newest version, whoever comes first.
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: sharding.append(rows.where(F.col("Run__") < k), base), [10, 20, 30, 40]))
+    assert sharding.read(spark, base).count() == 900
+    assert not sharding._create_once(spark, f"{base}/versions/v{1:012d}", "late")
+
+
 # ---- quotations
 
 

@@ -50,6 +50,19 @@ def test_url_filters_without_rows(spark):
     assert url_filters.filter_urls(captures.limit(0), entries(spark, LIST)).count() == 0
 
 
+def test_url_filters_case_and_slashes(spark):
+    """Hosts in any case, paths as written; a final slash of a pattern, a very long URL and two actions on one date."""
+    listed = [("path", "A.org/Docs", "block"), ("path", "a.org/pub/", "block"), ("path", "a.org/pub", "allow"), ("host", "B.org.", "block"), ("path", "c.org", "block"), ("domain", "d.org", "allow"), ("domain", "D.org", "block")]
+    urls = {
+        "http://a.org/Docs/x": "block", "http://a.org/docs/x": "none", "http://A.ORG/Docs/": "block", "http://a.org/pub": "block", "http://a.org/pub/x": "block",
+        "http://a.org/public": "none", "http://b.org/": "block", "http://c.org/": "block", "http://x.d.org/" + "y/" * 2000: "block",
+    }
+    day = dt.date(2024, 1, 1)
+    table = spark.createDataFrame([(k, u, day, "m", 1) for k, u in enumerate(urls)], "page_id long, url string, fetched_at date, matched string, rank int")
+    got = {r.url: r.verdict for r in url_filters.filter_urls(table, entries(spark, [(*x, "2024-01-01") for x in listed])).collect()}
+    assert got == urls
+
+
 # ---- quality rules
 
 
@@ -101,6 +114,32 @@ def test_rules_hold_out(spark):
     assert wrong <= 2
 
 
+@pytest.mark.parametrize(("sf", "recall"), [("sf0.01", 0.6), ("sf0.1", 0.9)])
+def test_rules_on_the_given_tables(spark, sf, recall):
+    """Learned from four fifths of the labels, the list judges the last fifth; what the column says is what the rules say."""
+    read = lambda name: spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet")
+    rows = quality_rules.labelled_sample(read("documents"), read("labels"), 20_000)
+    hit = missed = wrong = 0
+    for fold in range(5):
+        rules = quality_rules.learn_rules([r for r in rows if r["doc_id"] // 8 % 5 != fold])
+        for r in (r for r in rows if r["doc_id"] // 8 % 5 == fold):
+            out = any(rule.holds(r) for rule in rules)
+            hit, missed, wrong = hit + (out and not r["good"]), missed + (not out and not r["good"]), wrong + (out and bool(r["good"]))
+    print(sf, "precision", hit / (hit + wrong), "recall", hit / (hit + missed))
+    assert hit >= 0.95 * (hit + wrong) and hit >= recall * (hit + missed)
+    rules = quality_rules.learn_rules(rows)
+    assert rules
+    judged = [r.asDict() for r in quality_rules.apply_rules(read("documents"), rules).collect()]
+    first = lambda r: next((k for k, rule in enumerate(rules, 1) if rule.holds(r)), 0)
+    assert all(r["rule"] == first(r) and r["kept"] == (not r["base_failed"] and not first(r)) for r in judged)
+    assert any(r["rule"] and not r["base_failed"] for r in judged)
+
+
+def test_few_labels_ask_for_pure_rules():
+    assert quality_rules.evidence(5, 0, 0.15) > 10.83 > quality_rules.evidence(2, 0, 0.15)
+    assert quality_rules.learn_rules([]) == []
+
+
 def test_rules_without_labels(spark):
     table = docs(spark, [" ".join(WORDS[:60]), "short", " ".join(["same words here"] * 30), None])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
