@@ -111,11 +111,19 @@ OP5_SQL = "select doc_id, length(text) n_chars, md5(text) text_md5 from document
 
 
 def quoted_mail(turns: DataFrame) -> DataFrame:
-    """``conversations`` as mail: each turn above the turn before it, quoted once, and the one before that, quoted twice."""
+    """``conversations`` as mail with a tree of replies: message n of a conversation quotes message n - 1 - n mod 3 (at least the first), and where n is a multiple of three, also what that one quotes.
+
+    Each message begins with its number, so that no two of a conversation are alike.
+    """
     before = Window.partitionBy("conv_id").orderBy("turn")
-    quote = lambda n, mark: F.regexp_replace(F.lag("text", n).over(before), "(?m)^", mark)
-    mail = F.concat_ws("\n", F.coalesce("text", F.lit("")), quote(1, "> "), quote(2, "> > "))
-    return turns.withColumn("mail", mail).select("conv_id", "turn", "role", F.col("mail").alias("text"))
+    nth = F.row_number().over(before)
+    numbered = turns.select("conv_id", "turn", "role", nth.alias("nth"), F.concat(F.lit("No. "), nth, F.lit("\n"), F.coalesce("text", F.lit(""))).alias("own"))
+    said = lambda n: F.lag("own", n).over(before)
+    quote = lambda text, mark: F.regexp_replace(text, "(?m)^", mark)
+    parent = F.when(F.col("nth") % 3 == 0, said(1)).when(F.col("nth") % 3 == 1, said(2)).otherwise(F.coalesce(said(3), said(1)))
+    above = F.when(F.col("nth") % 3 == 0, F.coalesce(said(4), said(2)))
+    mail = F.concat_ws("\n", "own", quote(parent, "> "), quote(above, "> > "))
+    return numbered.select("conv_id", "turn", "role", mail.alias("text"))
 
 
 def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,11 +131,20 @@ def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = r"""
-with t as (
-  select conv_id, turn, role, trim(coalesce(text, ''), E' \t\n\r') as text,
-         lag(turn) over w as parent_turn, row_number() over w as nth, first_value(turn) over w as root_turn
-  from conversations window w as (partition by conv_id order by turn))
-select conv_id, turn, role, text, parent_turn, root_turn, nth - 1 as depth, nth as reply_order, least(nth - 1, 2) as n_quotes from t
+with recursive t as (
+  select conv_id, turn, role, trim('No. ' || nth || E'\n' || coalesce(text, ''), E' \t\n\r') as text, nth,
+         case when nth > 1 then greatest(1, nth - 1 - nth % 3) end as parent
+  from (select *, row_number() over (partition by conv_id order by turn) as nth from conversations)),
+tree as (
+  select conv_id, nth, [nth] as path from t where parent is null
+  union all
+  select t.conv_id, t.nth, list_append(tree.path, t.nth) from tree join t on t.conv_id = tree.conv_id and t.parent = tree.nth)
+select t.conv_id, t.turn, t.role, t.text, p.turn as parent_turn, r.turn as root_turn, len(tree.path) - 1 as depth,
+       row_number() over (partition by t.conv_id order by tree.path) as reply_order,
+       cast(case when t.nth = 1 then 0 when t.nth % 3 = 0 then 2 else 1 end as bigint) as n_quotes
+from t join tree using (conv_id, nth)
+left join t p on p.conv_id = t.conv_id and p.nth = t.parent
+join t r on r.conv_id = t.conv_id and r.nth = tree.path[1]
 """
 
 

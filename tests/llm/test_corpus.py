@@ -286,7 +286,7 @@ def test_reply_order(spark):
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {(r.conv_id, r.turn): r for r in quotations.reply_order(table).collect()}
     assert {k: r.parent_turn for k, r in got.items()} == {(1, 0): None, (1, 1): 0, (1, 2): 1, (1, 3): 0, (1, 4): None, (1, 5): None, (2, 0): None, (2, 1): 0}
-    assert [t for _, t in sorted((r.reply_order, r.turn) for r in got.values() if r.conv_id == 1)] == [0, 1, 3, 2, 4, 5]
+    assert [t for _, t in sorted((r.reply_order, r.turn) for r in got.values() if r.conv_id == 1)] == [0, 1, 2, 3, 4, 5]
     assert (got[1, 2].depth, got[1, 2].root_turn, got[1, 2].text, got[1, 5].text) == (2, 0, "More", "")
     assert quotations.reply_order(table.limit(0)).count() == 0
 
@@ -300,6 +300,41 @@ def test_deeper_quotes_find_an_ancestor(spark):
     assert got == {0: (None, 0), 1: (0, 1), 2: (0, 1), 3: (1, 2), 4: (1, 2)}
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_threads_are_read_depth_first(spark, seed):
+    """Random reply trees in one large conversation and some small ones, against recursion; parts are small, so groups are split."""
+    rng = random.Random(seed)
+    parents, rows = {}, []
+    for conv, n in ((1, 150), (2, 1), (3, 12)):
+        for t in range(n):
+            p = None if t == 0 or rng.random() < 0.1 else (0 if rng.random() < 0.4 else rng.randrange(t))
+            parents[conv, t] = p
+            rows.append((conv, t, "r", f"common line\nmessage {t} of it" + ("" if p is None else f"\n> common line\n> message {p} of it"), "own", 1))
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, own string, depth int")
+    got = {(r.conv_id, r.turn): r for r in quotations.reply_order(table.repartition(3)).collect()}
+    assert {k: r.parent_turn for k, r in got.items()} == parents
+
+    def walk(conv, turn, depth):
+        yield turn, depth
+        for (c, t), p in parents.items():
+            if c == conv and p == turn:
+                yield from walk(conv, t, depth + 1)
+
+    for conv in (1, 2, 3):
+        want = [x for (c, t), p in parents.items() if c == conv and p is None for x in walk(conv, t, 0)]
+        own = sorted((r.reply_order, r.turn, r.depth) for (c, _), r in got.items() if c == conv)
+        assert own == [(k, *x) for k, x in enumerate(want, 1)]
+
+
+def test_odd_messages(spark):
+    """Nulls, repeats and a very long text."""
+    long = "word " * 100_000
+    rows = [(1, 1, None, None), (1, 1, None, None), (1, 2, "b", long), (1, 3, "c", "Yes\n> " + long), (None, None, None, "x"), (1, None, "d", "y")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.parent_turn, len(r.text), r.reply_order) for r in quotations.reply_order(table).collect()}
+    assert got == {1: (None, 0, 1), 2: (None, len(long) - 1, 2), 3: (2, 3, 3)}
+
+
 # ---- pipeline
 
 
