@@ -4,7 +4,9 @@ The first pass labels each block from its length, its share of stop words and
 its share of linked text; boxes that are never main text (menus, forms, adverts,
 comments and so on) are bad as a whole.  The second pass gives every block left
 undecided the label of its nearest decided neighbours.  Where a page marks its
-article, blocks outside it are bad and undecided blocks inside it lean to good.
+article, blocks outside it are bad and undecided blocks inside it lean to good;
+where it marks nothing, the two passes decide alone (a test takes all class
+names, ids and article marks from the given pages and compares).
 """
 
 from __future__ import annotations
@@ -87,9 +89,15 @@ def blocks_of(html: str) -> list[Block]:
     out: list[Block] = []
     now = Block()
     stack: list[tuple[str, bool, int, bool]] = []  # element, whether inside a box, article number, whether an article may not end the box
+    open_names: dict[str, int] = {}  # how often each element stands in the stack, so that a stray end tag costs no walk through it
     links = breaks = articles = 0
     at = 0
 
+    def leave(depth: int) -> None:
+        for name, *_ in stack[depth:]:
+            open_names[name] -= 1
+        del stack[depth:]
+
     def close(next_heading: bool = False) -> None:
         nonlocal now
         now.text = " ".join("".join(now.parts).split())
@@ -127,13 +135,13 @@ def blocks_of(html: str) -> list[Block]:
         if ends:
             if name == "a":
                 links = max(0, links - 1)
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), -1)
+            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), -1) if open_names.get(name) else -1
             if name in BLOCKS or (depth >= 0 and stack[depth][1] != (depth > 0 and stack[depth - 1][1])):
                 if depth >= 0:
-                    del stack[depth:]
+                    leave(depth)
                 close()
             elif depth >= 0 and depth == len(stack) - 1:
-                stack.pop()
+                leave(depth)
             continue
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -159,9 +167,10 @@ def blocks_of(html: str) -> list[Block]:
             marks = words & BOX_WORDS
             boxed = boxed or hidden or name in BOXES or bool(marks - HEADERS if article else marks) or ((name == "header" or "header" in words) and not article)
         if name == "p" and stack and stack[-1][0] == "p":
-            stack.pop()
+            leave(len(stack) - 1)
         if name in BLOCKS or boxed != (stack[-1][1] if stack else False):
             stack.append((name, boxed, article, sealed or talk or name in ("aside", "footer", "nav", "form")))
+            open_names[name] = open_names.get(name, 0) + 1
             links = 0 if name in BLOCKS else links
             close(name in ("h1", "h2", "h3", "h4", "h5", "h6"))
     close()

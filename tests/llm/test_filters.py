@@ -174,6 +174,29 @@ def test_unclosed_and_odd_markup():
     assert html_text.main_text("<article><p>" + "of the word " * 30_000 + "</p></article>")[0] == ("of the word " * 30_000).strip()
 
 
+@pytest.mark.parametrize(("taken", "precision", "recall"), [("article|main", 0.95, 0.95), ("article|main|footer|aside|header|section", 0.9, 0.95)])
+def test_two_passes_without_marks(spark, taken, precision, recall):
+    """The given pages without class, id, role and the elements that mark an article, against the same pages with them."""
+    same = more = less = 0
+    for (html,) in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect():
+        plain = re.sub(r"""\s(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", html)
+        plain = re.sub(rf"<(/?)(?:{taken})\b", r"<\1div", plain)
+        marked, bare = (Counter(html_text.main_text(x)[0].split("\n")) for x in (html, plain))
+        same += sum(n * len(x) for x, n in (marked & bare).items())
+        more += sum(n * len(x) for x, n in (bare - marked).items())
+        less += sum(n * len(x) for x, n in (marked - bare).items())
+    print(taken, "precision", same / (same + more), "recall", same / (same + less))
+    assert same >= precision * (same + more) and same >= recall * (same + less)
+
+
+def test_long_and_deep_pages():
+    """Time grows with the page, not with its square."""
+    prose = "<p>" + "It is one of the things that they have in the house of the man. " * 5 + "</p>"
+    assert html_text.main_text(prose * 20_000)[0].count("\n") == 19_999
+    deep = "<div>" * 20_000 + prose + "</section>" * 20_000 + "</span>" * 20_000 + "</div>" * 20_000 + prose
+    assert html_text.main_text(deep)[0].count("It is one") == 10
+
+
 def test_extract_pages(spark):
     rows = [(1, "u", "<article><p>Hello.</p></article>", "t"), (1, "u", "<article><p>Hello.</p></article>", "t"), (2, None, None, None), (None, "v", "", "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
