@@ -86,20 +86,84 @@ def message_row(file: str, raw: bytes) -> tuple:
         return (file, hashlib.sha1(raw).hexdigest(), None, None, [], [], None, None, [], None, [], None, f"{type(e).__name__}: {e}"[:300])
 
 
-def messages(spark: SparkSession, path: str) -> DataFrame:
-    """Messages of every mailbox file below ``path``: files that begin with ``From `` and lie in no skipped folder.
+#: A separator names a weekday, a time and a year; any other line that begins with "From " is part of a message.
+_SEPARATOR = re.compile(rb"(?=[^\n]*\b(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\b)(?=[^\n]*\d:\d\d)(?=[^\n]*\b\d{4}\b)[^\n]*(?:\n|$)", re.I)
+_PARTS = "file string, block long, n long, kind string, last boolean, raw binary"
+
 
-    A message that lies in several folders comes once, from the deepest, with all its ``files``.
-    Files are split into messages on the JVM by the separator line, so a large
-    mailbox is read line by line and not held by one task.
+def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies between lines that begin with "From ", put together again where such a line is no separator.
+
+    ``kind``: a ``message``; a ``rest`` that belongs to the last message of the
+    split before; ``foreign``, the start of a file that is no mailbox.
+    """
+    held: tuple | None = None
+    pieces: list[bytes] = []
+    n = 0
+
+    def row(last: bool) -> list[tuple]:
+        return [(held[0], held[1], n, held[2], last, b"\nFrom ".join(pieces))] if held else []
+
+    for batch in batches:
+        out: list[tuple] = []
+        for k in range(batch.num_rows):
+            file, block, raw = batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), batch.column(2)[k].as_py() or b""
+            same = held is not None and held[:2] == (file, block)
+            if not same and block == 0:
+                kind = "message" if raw.startswith(b"From ") and _SEPARATOR.match(raw[5:]) else "foreign"
+                raw = raw[5:] if kind == "message" else raw
+            else:
+                kind = "message" if _SEPARATOR.match(raw) else "rest"
+            if same and kind == "rest":
+                pieces.append(raw)
+                continue
+            out += row(not same)
+            held, pieces, n = (file, block, kind), [raw], n + 1 if same else 0
+        yield _batch(out)
+    yield _batch(row(True))
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.binary()]
+    columns = list(zip(*rows, strict=True)) or [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [f.split()[0] for f in _PARTS.split(", ")])
+
+
+def raw_messages(spark: SparkSession, path: str) -> DataFrame:
+    """``file, raw``: the bytes of every message below ``path``, without its separator line.
+
+    Spark splits files at the bytes ``\\nFrom ``, so a large mailbox is read by
+    many tasks; nothing is decoded on the way.  What follows such a line that is no
+    separator stays with its message, also when that began in the split before.
     """
     lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\nFrom ").text(path)
-    parts = lines.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:", "").alias("file"), F.regexp_replace("value", "^From ", "").alias("raw")).where(~F.col("file").rlike(SKIPPED))
-    parts = parts.where(F.col("raw").rlike("^[^\\n]*\\d{4}[^\\n]*\\n") & ~F.col("file").rlike("\\.(?:msf|json|dat)$"))
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:", "").alias("file")
+    parts = lines.select(file, F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("raw"))
+    parts = parts.where(~F.col("file").rlike(SKIPPED) & ~F.col("file").rlike("\\.(?:msf|json|dat)$")).mapInArrow(_fragments, _PARTS)
+    # One row for each file that is no mailbox; Spark lists every file on the driver anyway.
+    foreign = F.broadcast(parts.where("kind = 'foreign'").select("file").distinct())
+    parts = parts.join(foreign, "file", "left_anti")
+    whole = parts.where("kind = 'message'")
+    # Only the last message of a split can go on in the next one, so no other is shuffled.
+    ends = whole.where("last").select("file", "block", "n", "raw")
+    rests = parts.where("kind = 'rest'").select("file", F.col("block").alias("at"), F.col("raw").alias("more"))
+    owner = rests.join(ends.select("file", "block"), "file").where("block < at").groupBy("file", "at").agg(F.max("block").alias("block"))
+    tails = rests.join(owner, ["file", "at"]).groupBy("file", "block").agg(F.array_sort(F.collect_list(F.struct("at", "more"))).alias("tails"))
+    joined = ends.join(tails, ["file", "block"], "left").select("file", "raw", F.coalesce(F.transform("tails", lambda t: t["more"]), F.array().cast("array<binary>")).alias("tails"))
+    joined = joined.select("file", F.aggregate("tails", F.col("raw"), lambda a, b: F.concat(a, F.lit(b"\nFrom "), b)).alias("raw"))
+    return whole.where("not last").select("file", "raw").unionByName(joined)
+
+
+def messages(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of every mailbox file below ``path``: files that begin with a separator and lie in no skipped folder.
+
+    A message that lies in several folders comes once, from the deepest, with all
+    its ``files``.  Texts are decoded by their own charset, else as UTF-8, gb18030 or Latin-1.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [message_row(f, r.partition("\n")[2].replace("\n>From ", "\nFrom ").encode("utf-8", "surrogateescape")) for f, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            rows = [message_row(f, r.partition(b"\n")[2].replace(b"\n>From ", b"\nFrom ")) for f, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             columns = list(zip(*rows, strict=True)) or [[]] * 13
             person = pa.struct([("name", pa.string()), ("email", pa.string())])
             attached = pa.struct([("filename", pa.string()), ("content_type", pa.string()), ("size", pa.int64()), ("sha256", pa.string())])
@@ -107,7 +171,7 @@ def messages(spark: SparkSession, path: str) -> DataFrame:
             names = ["file", "message_id", "date", "sender", "recipients", "copies", "subject", "in_reply_to", "refs", "body", "attachments", "bulk", "error"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    read = parts.mapInArrow(run, SCHEMA)
+    read = raw_messages(spark, path).mapInArrow(run, SCHEMA)
     depth = F.size(F.split("file", "/"))
     rest = [c for c in read.columns if c not in ("message_id", "file")]
     best = read.groupBy("message_id").agg(F.max_by(F.struct("file", *rest), F.struct(depth, "file")).alias("m"), F.array_sort(F.collect_set("file")).alias("files"))

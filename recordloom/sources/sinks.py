@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 
 def report_csv(rows: DataFrame, path: str, order: Sequence[Column | str]) -> None:
     """A report in one sorted file; nested columns as JSON.  For results a person reads, which are small."""
@@ -26,9 +28,9 @@ def append_missing(rows: DataFrame, path: str, key: Sequence[str]) -> DataFrame:
     if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
         held = spark.read.schema(rows.schema).parquet(path)
         once = once.join(held.select(*key), list(key), "left_anti")
-    once = once.cache()
-    once.write.mode("append").parquet(path)
-    return once
+    fresh = stored(once, "fresh")
+    fresh.write.mode("append").parquet(path)
+    return fresh
 
 
 def field_plan(wanted: DataFrame, existing: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from recordloom.operators import blocks, headers, lookups, planning, resolve, rollups, winners
@@ -157,8 +158,24 @@ def test_stream_keeps_the_newest(spark, tmp_path):
         rows(spark, data, "k int, stamp string, v string").selectExpr("k", "timestamp(stamp) stamp", "v").coalesce(1).write.parquet(str(source / str(n)))
         stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(source))
         stream.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
-    got = {r.k: r.v for r in spark.read.parquet(str(target / "state/1")).collect()}
-    assert got == {1: "new", 2: "a", 3: "c"}
-    plan = {r.k: r.action for r in spark.read.parquet(str(target / "plan/1")).collect()}
+    assert {r.k: r.v for r in sink.target(spark).collect()} == {1: "new", 2: "a", 3: "c"}
+    plan = {r.k: r.action for r in spark.read.parquet(str(target / "plan/000000000001-run-1")).collect()}
     assert plan == {1: "newer", 3: "create"}
     assert first_of_each(spark.readStream.schema(schema).parquet(str(source)), ["k"], "stamp").isStreaming
+
+
+def test_sink_bridges_gaps_and_new_checkpoints(spark, tmp_path):
+    batch = lambda *data: rows(spark, list(data), "k int, stamp int, v string")
+    held = lambda sink: {r.k: r.v for r in sink.target(spark).collect()}
+    sink = LatestSink(str(tmp_path / "t"), "k", "stamp", ["v"])
+    with pytest.raises(FileNotFoundError):
+        sink(batch((1, 1, "a")), 5)
+    sink(batch((1, 1, "a")), 0)
+    sink(batch((2, 1, "b")), 2)
+    assert held(sink) == {1: "a", 2: "b"}
+    sink(batch((3, 1, "again")), 2)
+    assert held(sink) == {1: "a", 2: "b"}
+    later = LatestSink(str(tmp_path / "t"), "k", "stamp", ["v"], run="second", keep=2)
+    later(batch((1, 2, "new"), (2, 0, "old")), 0)
+    assert held(later) == {1: "new", 2: "b"}
+    assert [v for v, _, _ in later.versions(spark)] == [1, 2]

@@ -70,3 +70,23 @@ def test_mailbox(spark, tmp_path):
     assert got["2@x"].body.strip() == "Thanks"
     roots = {r.message_id: r.root for r in mbox.threads(mails.withColumn("subject", F.regexp_replace("subject", "^Angebot", "Angebot"))).collect()}
     assert roots == {"1@x": "1@x", "2@x": "1@x", "3@x": "1@x"}
+
+
+def test_mailbox_keeps_bytes_and_lines_that_begin_with_from(spark, tmp_path):
+    """8-bit bodies, "From " inside a body, and splits so small that messages go on in the next ones."""
+    head = "From - Mon May 18 1{n}:00:00 2026\nMessage-ID: <{n}@x>\nDate: Mon, 18 May 2026 1{n}:00:00 +0200\nFrom: a@b.com\nSubject: s{n}\n{more}\n"
+    bodies = [f"Dear all,\nFrom the office in {k} we write\nFrom 2026 on it is so\n" + "line of text\n" * (40 * k) + f"end {k}" for k in range(6)]
+    raw = b"".join((head.format(n=k, more="") + body + "\n\n").encode() for k, body in enumerate(bodies))
+    raw += head.format(n=6, more="Content-Type: text/plain; charset=gb2312\nContent-Transfer-Encoding: 8bit\n").encode() + "报价单已确认".encode("gb18030") + b"\n\n"
+    raw += head.format(n=7, more="").encode() + "没有字符集".encode("gb18030") + b"\n"
+    (tmp_path / "box").mkdir()
+    (tmp_path / "box" / "Inbox").write_bytes(raw)
+    (tmp_path / "box" / "notes").write_bytes(b"no mailbox\nFrom - Mon May 18 10:00:00 2026\nMessage-ID: <no@x>\n\nnot a mail\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "700b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {r.message_id: r.body.strip() for r in mbox.messages(spark, str(tmp_path / "box")).collect()}
+            assert got == {f"{k}@x": body for k, body in enumerate([*bodies, "报价单已确认", "没有字符集"])}, size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
