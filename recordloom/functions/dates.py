@@ -205,3 +205,25 @@ def visit_slot(day: Column, order: Column, zone: str = "UTC") -> Column:
     """Nine o'clock for a day's first visit and two hours more for each that follows."""
     start = F.to_utc_timestamp(day.cast("timestamp_ntz") + F.expr("interval 9 hours"), zone)
     return start + F.make_dt_interval(F.lit(0), (2 * order).cast("int"))
+
+
+def mistyped_month(day: Column, monday: Column) -> Column:
+    """A date typed as a mere day number, which lies more than a week off its sheet's week: the same day number in that week (one day before it, or two behind, at most), else unchanged."""
+    guesses = [make_day(F.year(a), F.month(a), F.dayofmonth(day)) for a in (monday, F.date_add(monday, 6))]
+    close = [F.when(F.date_diff(g, monday).between(-1, 7), g) for g in guesses]
+    return F.when(F.abs(F.date_diff(day, monday)) > 7, F.coalesce(*close, day)).otherwise(day)
+
+
+def week_agrees(day: Column, *weeks: Column) -> Column:
+    """The date lies in each of the ISO weeks that are known; false without a date."""
+    out = day.isNotNull()
+    for week in weeks:
+        out = out & F.coalesce(F.extract(F.lit("week"), day) == F.nullif(week, F.lit(0)), F.lit(True))
+    return F.coalesce(out, F.lit(False))
+
+
+def nearest_week_year(week: Column, modified: Column) -> Column:
+    """Of the three years around a file's date the one whose week lies nearest; its own year for an unknown week."""
+    years = [F.year(modified) + d for d in (-1, 0, 1)]
+    near = F.array_compact(F.array(*[F.when(week_monday(y, week).isNotNull(), F.struct(F.abs(F.date_diff(week_monday(y, week), modified)).alias("off"), y.alias("year"))) for y in years]))
+    return F.coalesce(F.array_min(near)["year"], F.year(modified))

@@ -32,9 +32,12 @@ def resolved(cells: DataFrame) -> DataFrame:
 def header_fields(cells: DataFrame, words: DataFrame, most_rows: int = 30) -> DataFrame:
     """``file, sheet, row, col, field``: labels of the first rows and what they stand for; the first column of a field counts."""
     labels = cells.where((F.col("row") <= most_rows) & F.col("text").isNotNull()).where(~sensitive(F.col("text"))).withColumn("key", label_key(F.col("text")))
-    # The synonym table is a fixed, small set of labels.
-    hit = (F.col("key") == F.col("label")) | (~F.col("exact") & F.col("key").startswith(F.col("label")))
-    named = labels.join(F.broadcast(words), hit).groupBy(*SHEET, "row", "col").agg(F.min_by("field", "priority").alias("field"))
+    # Labels meet on equal text: a cell's whole label, or one of its beginnings no longer than the longest synonym.
+    longest = words.agg(F.max(F.length("label"))).first()[0] or 0
+    ends = F.sequence(F.lit(1), F.least(F.length("key"), F.lit(longest)))
+    starts = F.when(F.length("key") > 0, F.transform(ends, lambda n: F.substring("key", F.lit(1), n))).otherwise(F.array(F.lit("")))
+    spread = labels.withColumn("label", F.explode(starts))
+    named = spread.join(words, "label").where((F.col("key") == F.col("label")) | ~F.col("exact")).groupBy(*SHEET, "row", "col").agg(F.min_by("field", "priority").alias("field"))
     return named.groupBy(*SHEET, "row", "field").agg(F.min("col").alias("col"))
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,17 +83,46 @@ def greedy_overlap(left: DataFrame, right: DataFrame, group: str, left_id: str,
 
 
 def reset_running(sizes: DataFrame, group: str, order: str, size: str, most: int) -> DataFrame:
-    """``part``: consecutive items of a group share a part until ``most`` is passed; an ordered fold over one group's sizes."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("n"))))
-    start = F.struct(F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("filled"), F.array().cast("array<struct<o:bigint,part:bigint>>").alias("out"))
+    """``group, order, part``: consecutive items of a group share a part until ``most`` is passed.
+
+    A part begins where the last one ended, so a group is read in order; tasks hold
+    three numbers for it, however many items it has.
+    """
+    kinds = dict(sizes.dtypes)
+    rows = sizes.select(group, order, F.col(size).cast("long").alias("n")).repartition(group).sortWithinPartitions(group, order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, part, filled, started = None, 0, 0, False
+        for batch in batches:
+            parts = []
+            for key, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if not started or key != now:
+                    now, part, filled, started = key, 0, 0, True
+                over = filled > 0 and filled + (n or 0) > most
+                part, filled = part + over, (n or 0) + (0 if over else filled)
+                parts.append(part)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.int64())], [group, order, "part"])
+
+    return rows.mapInArrow(run, f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, part long")
+
+
+def by_any_of(rows: DataFrame, key: str, listed: str, known: DataFrame, name: str, values: str) -> DataFrame:
+    """``key, found``: the distinct ``values`` of all members of the array ``listed`` that ``known`` has under ``name``, sorted; keys without any have an empty array."""
+    spread = rows.select(key, F.explode(listed).alias(name)).distinct()
+    got = spread.join(known.select(name, F.explode(values).alias("v")).distinct(), name).groupBy(key).agg(F.array_sort(F.collect_set("v")).alias("found"))
+    return rows.select(key).distinct().join(got, key, "left").select(key, F.coalesce("found", F.array().cast(got.schema["found"].dataType)).alias("found"))
+
+
+def with_sums(rows: DataFrame, key: str, facts: DataFrame, unit: str, amount: str) -> DataFrame:
+    """``rows`` with ``sums``: unit to exact sum of ``facts`` of the same key, currencies never added together; empty without facts."""
+    per = facts.where(F.col(amount).isNotNull()).groupBy(key, unit).agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("total"))
+    sums = per.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(unit, "total")))).alias("sums"))
+    return rows.join(sums, key, "left").withColumn("sums", F.coalesce("sums", F.create_map().cast(sums.schema["sums"].dataType)))
 
-    def step(a: Column, x: Column) -> Column:
-        over = (a["filled"] > 0) & (a["filled"] + x["n"] > most)
-        part = a["part"] + F.when(over, 1).otherwise(0)
-        return F.struct(part.alias("part"), F.when(over, x["n"]).otherwise(a["filled"] + x["n"]).alias("filled"), F.array_append(a["out"], F.struct(x["o"].cast("long").alias("o"), part.alias("part"))).alias("out"))
 
-    folded = sizes.groupBy(group).agg(F.aggregate(items, start, step, lambda a: a["out"]).alias("parts"))
-    return folded.select(group, F.explode("parts").alias("p")).select(group, F.col("p.o").alias(order), "p.part")
+def covered_by(part: Column, whole: Column) -> Column:
+    """Every member of an array is in the other."""
+    return F.size(F.array_except(part, whole)) == 0
 
 
 def one_at_most(rows: DataFrame, key: str, value: str) -> DataFrame:

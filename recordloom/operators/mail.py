@@ -108,3 +108,58 @@ def grounded(facts: DataFrame, tokens: str, corpus: DataFrame, text: str) -> tup
     spread = facts.select("fact_id", F.explode(F.transform(tokens, lambda t: F.lower(t))).alias("token"))
     bad = spread.join(words, "token", "left_anti").groupBy("fact_id").agg(F.array_sort(F.collect_set("token")).alias("unknown"))
     return facts.join(bad, "fact_id", "left_anti"), facts.join(bad, "fact_id")
+
+
+COUNTERS = (
+    "filed", "filed_other", "mass", "automated", "out", "out_business", "we_buy", "bill", "in", "in_inquiry", "in_order", "purchase_folder", "logistics_folder",
+    "product", "our_product", "service", "deal", "quoted", "quoted_inquiry",
+)
+
+
+def all_counters(mails: DataFrame, mass: int = 8) -> DataFrame:
+    """``key`` and the nineteen ``COUNTERS`` of every organisation that mails go to, come from or quote.
+
+    ``mails``: one row for each mail with ``outbound, own`` (sent by the mailbox's owner), ``automated``,
+    ``keys`` (its partners), ``domains`` (outside domains on it), ``filed_key`` (the partner whose folder it
+    lies in), ``filed`` (in any partner's folder), ``topic, supplier`` (of the folder), the word tests ``product,
+    inquiry, deal, bill, our_po, order_ref, service, price``, and ``quoted``, an array of ``sender, keys, domains``.
+
+    Mass mail counts as such and as filed only, automated mail likewise, an incoming
+    bill that is about nothing else too.  Quoted senders count in business mail, and
+    quoted recipients where the quoted mail went to three outside domains at most.
+    """
+    c = F.col
+    flag = lambda x: F.coalesce(x, F.lit(False))
+    mass_mail, automated = c("domains") >= mass, flag(c("automated")) & ~flag(c("outbound"))
+    about = flag(c("product")) | flag(c("inquiry"))
+    business = about | flag(c("deal"))
+    live = ~mass_mail & ~automated
+    out, bill = live & flag(c("outbound")), live & ~flag(c("outbound")) & flag(c("bill")) & ~about
+    came = live & ~flag(c("outbound")) & ~bill
+    said = out | came
+    own_folder = F.coalesce(c("key") == c("filed_key"), F.lit(False))
+    bought = c("topic").isin("Purchase", "Oder Confirmation") | (flag(c("supplier")) & c("topic").isNull())
+    tests = {
+        "filed": own_folder, "filed_other": flag(c("filed")) & ~own_folder, "mass": mass_mail, "automated": ~mass_mail & automated,
+        "out": out, "out_business": out & business & flag(c("own")), "we_buy": out & flag(c("our_po")), "bill": bill, "in": came, "in_inquiry": came & about,
+        "in_order": came & flag(c("order_ref")) & ~flag(c("our_po")),
+        "purchase_folder": came & flag(bought) & (flag(c("deal")) | flag(c("our_po")) | flag(c("product")) | flag(c("price"))),
+        "logistics_folder": came & flag(c("topic") == "Logistics"), "product": said & about, "our_product": said & flag(c("product")),
+        "service": said & flag(c("service")), "deal": said & flag(c("deal")),
+    }
+    one = lambda test: F.when(flag(test), 1).otherwise(0).cast("long")
+    zero = F.lit(0).cast("long")
+    direct = mails.withColumn("key", F.explode(F.array_distinct("keys"))).where("key is not null")
+    direct = direct.select("key", *[one(t).alias(n) for n, t in tests.items()], zero.alias("quoted"), zero.alias("quoted_inquiry"))
+    quoting = mails.where(live & (about | flag(c("filed")))).select("keys", about.alias("about"), F.explode("quoted").alias("q")).where(c("q.domains") < mass)
+    named = F.array_distinct(F.concat(F.array("q.sender"), F.when(c("q.domains") <= 3, c("q.keys")).otherwise(F.array().cast("array<string>"))))
+    quoted = quoting.select(F.explode(F.array_except(named, c("keys"))).alias("key"), "about", c("q.sender").alias("sender")).where("key is not null")
+    quoted = quoted.select("key", *[zero.alias(n) for n in tests], one(F.lit(True)).alias("quoted"), one(c("about") & (c("key") == c("sender"))).alias("quoted_inquiry"))
+    return direct.unionByName(quoted).groupBy("key").agg(*[F.sum(n).alias(n) for n in COUNTERS])
+
+
+def sole_addresses(people: DataFrame, name: str, email: str) -> DataFrame:
+    """``person, email``: names that the archive uses with exactly one address, so that a legacy address under the name can be read."""
+    real = people.where(F.col(email).contains("@") & ~F.lower(email).startswith("imceaex") & (F.coalesce(F.col(name), F.lit("")) != ""))
+    counts = real.groupBy(person_key(F.col(name)).alias("person")).agg(F.count_distinct(F.lower(email)).alias("n"), F.min(F.lower(email)).alias("email"))
+    return counts.where("n = 1 and person <> ''").select("person", "email")

@@ -81,3 +81,9 @@ def latest_answers(decisions: DataFrame, a: str, b: str, stamp: str, answer: str
     """The last answer for each unordered pair of names."""
     pair = F.array_sort(F.array(a, b))
     return decisions.groupBy(pair[0].alias("a"), pair[1].alias("b")).agg(F.max_by(answer, stamp).alias(answer))
+
+
+def behind_cutoff(rows: DataFrame, due: Column, day: str) -> DataFrame:
+    """``rows`` with ``closed``: what is due before the Monday of the batch's newest week is history.  One value, the newest day, comes to the driver."""
+    newest = rows.agg(F.date_format(F.trunc(F.max(day), "week"), "yyyy-MM-dd")).first()[0]
+    return rows.withColumn("closed", F.coalesce(due < F.lit(newest).cast("date"), F.lit(False)))

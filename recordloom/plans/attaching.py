@@ -43,14 +43,15 @@ def week_days(t):
     return found.select("user_id", F.col("year").cast("long"), F.col("week").cast("long"), F.size("days").cast("long").alias("n_days"), F.array_min("days").alias("first_day"), F.array_max("days").alias("last_day"))
 
 
-@query("""with w as (select c_custkey, c_nationkey, '+86138' || lpad((c_custkey % 40)::varchar, 8, '0') n from customer where c_custkey % 2 = 0), h as (select c_nationkey, '+86138' || lpad((c_custkey % 40)::varchar, 8, '0') n, min(c_custkey) contact from customer where c_custkey % 4 = 2 group by all)
-  select c_nationkey, c_custkey, contact from w join h using (c_nationkey, n)""")
+@query("""with w as (select c_custkey, c_nationkey, '+86138' || lpad((c_custkey % 40)::varchar, 8, '0') n, case when c_custkey % 4 = 2 then '+86138' else '+86139' end || lpad((c_custkey % 40)::varchar, 8, '0') m from customer),
+  h as (select c_nationkey, m as n, min(c_custkey) contact from w group by all)
+  select w.c_nationkey, c_custkey, contact from w join h using (c_nationkey, n)""")
 def mobile_match(t):
-    """People of a nation who share a mobile number with a contact that is held."""
-    number = F.concat(F.lit("+86138"), F.lpad((F.col("c_custkey") % 40).cast("string"), 8, "0"))
-    rows = t("customer").select("c_nationkey", "c_custkey", F.array(F.lit("+861062345678"), number).alias("numbers"))
-    held = rows.where("c_custkey % 4 = 2").withColumnRenamed("c_custkey", "contact")
-    return attach.by_mobile(rows.where("c_custkey % 2 = 0"), held, "c_nationkey", "c_custkey", "numbers", "contact")
+    """People of a nation who share a mobile number with a contact that is held; three contacts of four have changed theirs."""
+    digits = F.lpad((F.col("c_custkey") % 40).cast("string"), 8, "0")
+    rows = t("customer").select("c_nationkey", "c_custkey", F.array(F.lit("+861062345678"), F.concat(F.lit("+86138"), digits)).alias("numbers"))
+    held = t("customer").select("c_nationkey", F.col("c_custkey").alias("contact"), F.array(F.concat(F.when(F.col("c_custkey") % 4 == 2, "+86138").otherwise("+86139"), digits)).alias("numbers"))
+    return attach.by_mobile(rows, held, "c_nationkey", "c_custkey", "numbers", "contact")
 
 
 @query("""with p as (select distinct p_name party, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') f from part), l as (select distinct n_name as label, regexp_replace(lower(n_name), '[^a-z0-9]', '', 'g') g from nation union select distinct string_split(p_name, ' ')[1], regexp_replace(lower(string_split(p_name, ' ')[1]), '[^a-z0-9]', '', 'g') from part)

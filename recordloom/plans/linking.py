@@ -77,14 +77,17 @@ def unique_or_ambiguous(t):
 @query("""with n as (select distinct p_name from part) select a.p_name a, b.p_name b, levenshtein(a.p_name, b.p_name) as distance from n a join n b on a.p_name < b.p_name
   and (levenshtein(a.p_name, b.p_name) <= 2 or string_split(a.p_name, ' ')[-1] = string_split(b.p_name, ' ')[-1])""")
 def lookalike_pairs(t):
-    """Part names that share their noun or differ in two letters; the noun and deleted-letter keys block the join."""
+    """Part names that share their noun or differ in two letters at most.
+
+    Names two edits apart give one text when two letters or less are taken from each, so
+    pairs meet on equal texts of that kind, or on an equal noun.
+    """
     names = t("part").select(F.col("p_name").alias("a")).distinct()
-    words = F.split("a", " ")
-    # Two texts at most two edits apart share one of three pieces in its place or near it; words are short, so their length and letters block well enough.
-    keys = F.array_distinct(F.concat(F.array(F.concat(F.lit("noun:"), F.element_at(words, -1))), F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.concat(F.lit("size:"), F.floor((F.length("a") + d) / 3).cast("string")))))
-    left = names.select("a", F.explode(keys).alias("key"))
-    right = left.withColumnRenamed("a", "b")
-    pairs = left.join(right, "key").where("a < b").select("a", "b").distinct()
+    less = lambda text: F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
+    once = F.array_distinct(less(F.col("a")))
+    deleted = F.array_distinct(F.concat(F.array("a"), once, F.flatten(F.transform(once, less))))
+    keyed = names.select("a", F.explode(F.array_append(deleted, F.concat(F.lit("noun:"), F.element_at(F.split("a", " "), -1)))).alias("key"))
+    pairs = keyed.join(keyed.withColumnRenamed("a", "b"), "key").where("a < b").select("a", "b").distinct()
     noun = F.element_at(F.split("a", " "), -1) == F.element_at(F.split("b", " "), -1)
     return pairs.withColumn("distance", F.levenshtein("a", "b").cast("bigint")).where(noun | (F.col("distance") <= 2))
 
@@ -119,12 +122,12 @@ def paid_to_zero(t):
     return planning.zero_missing(t("orders").where(F.col("o_orderdate") < at), t("orders").where(F.col("o_orderdate") >= at), "o_custkey")
 
 
-@query("""with h as (select o_custkey, list(distinct o_orderpriority order by o_orderpriority) have from orders where o_orderdate < timestamp '1995-01-01' group by all),
-  n as (select o_custkey, list(distinct o_orderpriority order by o_orderpriority) new from orders where o_orderdate >= timestamp '1995-01-01' group by all)
+@query("""with h as (select o_custkey, list(distinct o_orderpriority order by o_orderpriority) have from orders where o_orderdate < timestamp '1998-07-01' group by all),
+  n as (select o_custkey, list(distinct o_orderpriority order by o_orderpriority) new from orders where o_orderdate >= timestamp '1998-07-01' group by all)
   select o_custkey, array_to_string(list_concat(have, list_filter(new, lambda x: not list_contains(have, x))), ',') merged, have[1] primary_value from h join n using (o_custkey)""")
 def reachability_merge(t):
     """Values held keep their order and the first stays primary; new ones go behind."""
-    at = F.expr("TIMESTAMP_NTZ'1995-01-01 00:00:00'")
+    at = F.expr("TIMESTAMP_NTZ'1998-07-01 00:00:00'")
     side = lambda df, name: df.groupBy("o_custkey").agg(F.array_sort(F.collect_set("o_orderpriority")).alias(name))
     both = side(t("orders").where(F.col("o_orderdate") < at), "have").join(side(t("orders").where(F.col("o_orderdate") >= at), "new"), "o_custkey")
     return both.select("o_custkey", F.array_join(planning.extended(F.col("have"), F.col("new")), ",").alias("merged"), F.col("have")[0].alias("primary_value"))
@@ -158,14 +161,14 @@ def reconcile_table(t):
     return planning.cross_tab(_findings(t), ["VERIFIED", "CHANGED", "MISSING", "EXTRA", "DUPLICATE"])
 
 
-@query("""with a as (select doc_id, quality, toxic from labels where doc_id % 5 <> 0), b as (select doc_id, case when n_chars < 300 then 0 else 1 end quality, 0 toxic from documents where doc_id % 3 <> 0)
+@query("""with a as (select doc_id, quality, toxic from labels), b as (select doc_id, case when n_chars < 300 then 0 else 1 end quality, 0 toxic from documents)
   select coalesce(a.doc_id, b.doc_id) doc_id, case when a.doc_id is null or b.doc_id is null then 'single' when a.quality = b.quality and a.toxic = b.toxic then 'agree' else 'disputed' end state,
   case when a.doc_id is not null and b.doc_id is not null and not (a.quality = b.quality and a.toxic = b.toxic) then concat_ws(',', case when a.quality <> b.quality then 'quality' end, case when a.toxic <> b.toxic then 'toxic' end) end differing
   from a full join b on a.doc_id = b.doc_id""")
 def consensus(t):
-    """Labels against a guess from the length, each without some documents."""
-    a = t("labels").where("doc_id % 5 <> 0").select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
-    b = t("documents").where("doc_id % 3 <> 0").select("doc_id", F.when(F.col("n_chars") < 300, 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+    """Labels, which cover some documents, against a guess from the length of each."""
+    a = t("labels").select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
+    b = t("documents").select("doc_id", F.when(F.col("n_chars") < 300, 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
     return planning.consensus(a, b, "doc_id", ["quality", "toxic"])
 
 
@@ -187,7 +190,10 @@ def threads(t):
     return lookups.roots(rows, "id", "up")
 
 
-@query()
+@query("""with recursive s as (select conv_id, turn, length(coalesce(text, '')) n, row_number() over (partition by conv_id order by turn) k from conversations),
+  r as (select conv_id, turn, k, n as filled, cast(0 as bigint) as part from s where k = 1
+    union all select s.conv_id, s.turn, s.k, case when filled > 0 and filled + n > 2000 then n else filled + n end, part + case when filled > 0 and filled + n > 2000 then 1 else 0 end from r join s on s.conv_id = r.conv_id and s.k = r.k + 1)
+  select conv_id, turn, part from r""")
 def bin_pack(t):
     """Turns of a conversation in parts of at most 2,000 characters, in order."""
     rows = t("conversations").select("conv_id", "turn", F.length(F.coalesce("text", F.lit(""))).alias("n"))

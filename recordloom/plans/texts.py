@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, emails, numbers, phones, status, text
@@ -87,32 +88,40 @@ def content_dedupe(t):
     return winners.newest_wins(rows, ["key"], [F.col("source").desc(), F.col("doc_id")]).select("key", "doc_id", (F.col("superseded") + 1).alias("copies"))
 
 
-_CELLS = [
-    ("a.xlsx", "CW21", 2, 1, "Owner:", None, None), ("a.xlsx", "CW21", 2, 2, "Li", None, None),
-    ("a.xlsx", "CW21", 4, 1, "Date", None, None), ("a.xlsx", "CW21", 4, 2, "Customer (full address)", None, None), ("a.xlsx", "CW21", 4, 3, "Status", None, None), ("a.xlsx", "CW21", 4, 4, "Bank account", None, None), ("a.xlsx", "CW21", 4, 5, "Mood", None, None),
-    ("a.xlsx", "CW21", 5, 1, "2026-05-18", 5, 1), ("a.xlsx", "CW21", 6, 1, None, 5, 1), ("a.xlsx", "CW21", 5, 2, "Delta", None, None), ("a.xlsx", "CW21", 6, 2, "Iota", None, None),
-    ("a.xlsx", "CW21", 5, 3, "open", None, None), ("a.xlsx", "CW21", 5, 4, "123", None, None), ("a.xlsx", "CW21", 6, 5, "good", None, None), ("a.xlsx", "CW21", 7, 1, "Total", None, None),
-    ("b.xlsx", "Plan", 1, 1, "Note", None, None),
-]
 _WORDS = {"date": ["date"], "customer": ["customer", "visiting customer"], "status": ["=status"]}
 
 
 def _cells(t):
-    spark = t("region").sparkSession
-    return spark.createDataFrame(_CELLS, "file string, sheet string, row int, col int, text string, merge_row int, merge_col int")
-
-
-@query("select * from (values ('a.xlsx', 'CW21', 4, 'date', 1), ('a.xlsx', 'CW21', 4, 'customer', 2), ('a.xlsx', 'CW21', 4, 'status', 3)) v(file, sheet, header_row, field, col)")
+    """A sheet for each nation: a header on row 3 to 5, a row for each supplier with its date in a merged cell, a total after every six."""
+    nations = t("nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), F.lit(".xlsx")).alias("file"), F.lit("S").alias("sheet"), (F.col("n_nationkey") % 3 + 3).cast("int").alias("row"), F.col("n_name").alias("nation"))
+    none = F.lit(None).cast("int")
+    cell = lambda col, text, row=none, at=none: F.struct(F.lit(col).alias("col"), text.alias("text"), row.alias("merge_row"), at.alias("merge_col"))
+    labels = ("Date", "Customer (full address)", "Status", "Bank account", "Mood")
+    heads = nations.select("file", "sheet", "row", F.explode(F.array(cell(1, F.col("nation")))).alias("c")).withColumn("row", F.lit(1))
+    heads = heads.unionByName(nations.select("file", "sheet", "row", F.explode(F.array(*[cell(k, F.lit(x)) for k, x in enumerate(labels, 1)])).alias("c")))
+    nth = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey")) - 1
+    rows = t("supplier").withColumn("nth", nth).withColumn("top", (F.col("s_nationkey") % 3 + 4).cast("int")).withColumn("row", (F.col("top") + F.col("nth")).cast("int"))
+    total, one = F.col("nth") % 7 == 6, F.lit(1)
+    state = F.when(F.col("s_acctbal") < 3000, "open").otherwise("closed")
+    plain = F.array(
+        cell(1, F.when(F.col("nth") == 0, "2026-05-18"), F.col("top"), one), cell(2, F.col("s_name")), cell(3, state), cell(4, F.col("s_acctbal").cast("string")), cell(5, F.when(F.col("s_suppkey") % 2 == 0, "good")),
+    )
+    body = rows.select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")).alias("file"), F.lit("S").alias("sheet"), "row", F.explode(F.when(total, F.array(cell(1, F.lit("Total")))).otherwise(plain)).alias("c"))
+    return heads.unionByName(body).select("file", "sheet", "row", "c.*")
+
+
+@query("select 'n' || n_nationkey || '.xlsx' as file, 'S' as sheet, cast(n_nationkey % 3 + 3 as int) as header_row, f.field, cast(f.col as int) as col from nation, (values ('date', 1), ('customer', 2), ('status', 3)) f(field, col)")
 def header_detect(t):
-    """The header of a small sheet, found by its labels."""
+    """The header of each sheet, found by its labels."""
     cells = headers.resolved(_cells(t))
     return headers.find_headers(cells, headers.synonyms(cells.sparkSession, _WORDS), 3, ["date", "customer"]).drop("until")
 
 
-@query("""select * from (values ('a.xlsx', 'CW21', 5, '2026-05-18', 'Delta', 'open', null, null), ('a.xlsx', 'CW21', 6, '2026-05-18', 'Iota', null, 'good', null), ('a.xlsx', 'CW21', 7, 'Total', null, null, null, 'total row'))
-  v(file, sheet, row, date, customer, status, mood, reason)""")
+@query("""with r as (select *, row_number() over (partition by s_nationkey order by s_suppkey) - 1 as nth from supplier)
+  select 'n' || s_nationkey || '.xlsx' as file, 'S' as sheet, cast(s_nationkey % 3 + 4 + nth as int) as row, case when nth % 7 = 6 then 'Total' else '2026-05-18' end as date, case when nth % 7 <> 6 then s_name end as customer,
+    case when nth % 7 <> 6 then case when s_acctbal < 3000 then 'open' else 'closed' end end as status, case when nth % 7 <> 6 and s_suppkey % 2 = 0 then 'good' end as mood, case when nth % 7 = 6 then 'total row' end as reason from r""")
 def pivot_cells(t):
-    """Rows under the header with merged cells filled, an unknown column kept, a bank account never read, and the reason of a skipped row."""
+    """Rows under the headers with merged cells filled, an unknown column kept, a bank account never read, and the reason of a skipped row."""
     cells = headers.resolved(_cells(t))
     found = headers.find_headers(cells, headers.synonyms(cells.sparkSession, _WORDS), 3, ["date", "customer"])
     rows = headers.pivoted(cells, found, ["date", "customer", "status"])
@@ -121,18 +130,33 @@ def pivot_cells(t):
     return rows.select("file", "sheet", "row", "date", "customer", "status", F.col("extra")["Mood"].alias("mood"), "reason")
 
 
-@query()
-def company_cascade(t):
-    """Customer names as they are, with a legal form, with a letter lost, or unknown, against the customers as master."""
-    master = t("customer").select(F.col("c_custkey").cast("string").alias("code"), F.concat(F.lit("Norvik "), F.translate(F.conv("c_custkey", 10, 26), "0123456789ABCDEFGHIJKLMNOP", "bcdfghjklmnpqrstvwxzaeiouy"), F.lit(" Quarzel Ltd")).alias("name"))
-    number = F.col("code").cast("long")
-    noisy = F.when(number % 4 == 0, F.col("name")).when(number % 4 == 1, F.concat("name", F.lit(" Co., Ltd."))).when(number % 4 == 2, F.replace("name", F.lit("Quarzel"), F.lit("Quarzl"))).otherwise(F.concat(F.lit("Other "), F.reverse("name")))
-    return resolve.match_companies(master.where(number <= 400).select(noisy.alias("written")), "written", master, "name", "code")
+_LETTERS = "bcdfghklmnprstvz"
 
 
-@query("""select doc_id, true conserved from documents where position('@' in "text") > 0""")
+@query(f"""with m as (select c_custkey, 'CR' || lpad(cast(c_custkey as varchar), 7, '0') as code, translate(substr(md5(cast(c_custkey as varchar)), 1, 14), '0123456789abcdef', '{_LETTERS}') as w from customer),
+  n as (select *, c_custkey % 5 as k, left(w, 8) || ' ' || right(w, 6) || ' Ltd' as name from m)
+  select case k when 0 then name when 1 then '(old) ' || name || ' Co., Ltd.' when 2 then left(w, 4) || right(w, 9) || ' Ltd' when 3 then code || ' someone' else 'Yoyuyi ' || translate(cast(c_custkey as varchar), '0123456789', 'eiouyaqjxw') end as written,
+    case k when 4 then null else code end as code, case k when 2 then round(200 * 13 / 27.0 * 0.95 / 100, 4) else 1.0 end::double as score,
+    case k when 2 then 'fuzzy' when 3 then 'code' when 4 then 'new' else 'exact' end as method from n""")
+def company_cascade(t):
+    """Every customer's name as it is, with other legal forms, with a letter lost, by its code, or unknown, against all customers as master."""
+    key = F.col("c_custkey")
+    w = F.translate(F.substring(F.md5(key.cast("string")), 1, 14), "0123456789abcdef", _LETTERS)
+    name = F.concat(F.substring("w", 1, 8), F.lit(" "), F.substring("w", 9, 6), F.lit(" Ltd"))
+    master = t("customer").select(key, F.concat(F.lit("CR"), F.lpad(key.cast("string"), 7, "0")).alias("code"), w.alias("w")).withColumn("name", name)
+    k = key % 5
+    written = (
+        F.when(k == 0, F.col("name")).when(k == 1, F.concat(F.lit("(old) "), F.col("name"), F.lit(" Co., Ltd.")))
+        .when(k == 2, F.concat(F.substring("w", 1, 4), F.substring("w", 6, 9), F.lit(" Ltd"))).when(k == 3, F.concat("code", F.lit(" someone")))
+        .otherwise(F.concat(F.lit("Yoyuyi "), F.translate(key.cast("string"), "0123456789", "eiouyaqjxw")))
+    )
+    return resolve.match_companies(master.select(written.alias("written")), "written", master, "name", "code")
+
+
+@query(r"""select doc_id, length(regexp_replace("text", '\s', '', 'g')) as letters, true as conserved from documents where "text" is not null""")
 def cell_conservation(t):
     """Splitting a text at its script changes and line ends neither loses nor invents a letter."""
     letters = lambda c: F.array_sort(F.split(F.regexp_replace(c, "\\s", ""), ""))
-    rows = t("documents").where(F.col("text").contains("@"))
-    return rows.select("doc_id", (letters(text.script_spaced(F.col("text"))) == letters(F.col("text"))).alias("conserved"))
+    spaced = text.script_spaced(F.col("text"))
+    rows = t("documents").where("text is not null")
+    return rows.select("doc_id", F.length(F.regexp_replace(spaced, "\\s", "")).cast("bigint").alias("letters"), (letters(spaced) == letters(F.col("text"))).alias("conserved"))
