@@ -10,11 +10,13 @@ would shuffle a row for every byte, so suffixes are first sampled and bucketed:
 2. Inside a bucket, runs with the same content (a second hash) repeat the
    earliest of them as a whole.  Only the earliest of each content goes on, and
    only where a bucket holds several contents.
-3. The bytes of those runs are fetched, and their suffixes are refined: a bucket
-   identifier for the first 8 bytes, then pairs of identifiers at later offsets
-   (8, 16, 32, and 36 for the last step), each round reusing the identifiers of
-   the round before, until a bucket stands for ``width`` equal bytes exactly.
-   In each final bucket all but the earliest window repeat it.
+3. The bytes of those runs are fetched, and their suffixes are refined by bucket
+   pointers: buckets start as the first 8 bytes, and each bucket that still holds
+   several suffixes is sorted by the pointers found as far behind as its members are known to
+   agree.  New pointers are written at once, so the buckets sorted next already
+   use them; buckets of one suffix, or of suffixes that agree far enough, are
+   left alone.  Neighbours in the final order are compared byte by byte, and of
+   equal windows all but the earliest repeat it.
 
 Tasks combine equal runs before they are shuffled, so a passage that stands in a
 third of all documents costs a row for each task, not for each document.  A
@@ -174,16 +176,33 @@ def anchors(docs: DataFrame, width: int, flush: int = 600_000) -> DataFrame:
     return docs.mapInArrow(run, _ANCHORS)
 
 
+def _joined_windows(places: list[tuple[int, int]], width: int) -> list[tuple[int, int, int]]:
+    """``doc, first window, windows`` of windows joined where they touch."""
+    out: list[tuple[int, int, int]] = []
+    for doc, lo in sorted(places):
+        if out and out[-1][0] == doc and lo <= out[-1][1] + out[-1][2] - 1 + width:
+            out[-1] = (doc, out[-1][1], lo - out[-1][1] + 1)
+        else:
+            out.append((doc, lo, 1))
+    return out
+
+
 def contexts(texts: DataFrame, width: int) -> DataFrame:
-    """The bytes of each wanted run: ``texts`` starts with ``doc, text, wanted``.  A run of a very large bucket comes window by window under a hash of the window, each window once for each batch."""
+    """The bytes of each wanted run: ``texts`` starts with ``doc, text, wanted``.
+
+    A run of a very large bucket comes window by window under a hash of the
+    window, each window once for each batch; spans of windows that a batch repeats
+    come without bytes, under a hash of their place that spreads them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = lambda raw: int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
         for batch in batches:
             docs = batch.column(0).to_pylist()
             texts = batch.column(1).cast(pa.large_binary())
             rows: list[tuple] = []
             single: dict[bytes, tuple[int, int]] = {}
-            repeated: list[tuple] = []
+            repeated: list[tuple[int, int]] = []
             for k, wanted in enumerate(batch.column(2).to_pylist()):
                 text = texts[k].as_py()
                 for r in sorted(wanted, key=lambda r: r["lo"]):
@@ -195,15 +214,12 @@ def contexts(texts: DataFrame, width: int) -> DataFrame:
                         continue
                     for j in range(r["n"]):
                         window, here = part[j : j + width], (docs[k], r["lo"] + j)
-                        before = single.get(window)
-                        if before is None or here < before:
-                            single[window] = here
-                        later = max(here, before) if before else None
-                        if later and before != here:
-                            repeated.append((None, *later, 1, None))
-            for window, (doc, lo) in single.items():
-                rows.append((int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "big", signed=True), doc, lo, 1, window))
-            rows += repeated
+                        before = single.setdefault(window, here)
+                        if before != here:
+                            single[window] = min(here, before)
+                            repeated.append(max(here, before))
+            rows += [(key(window), doc, lo, 1, window) for window, (doc, lo) in single.items()]
+            rows += [(key(b"%d %d" % (doc, lo)), doc, lo, n, None) for doc, lo, n in _joined_windows(repeated, width)]
             names, kinds = ["h", "doc", "lo", "n", "part"], [pa.int64()] * 4 + [pa.binary()]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names)
@@ -211,32 +227,68 @@ def contexts(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "h long, doc long, lo long, n long, part binary")
 
 
-def _identifiers(keys: np.ndarray) -> np.ndarray:
-    """Equal keys get equal numbers, in the keys' order."""
-    return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
-
+def suffix_order(data: np.ndarray, starts: np.ndarray, width: int, lot: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of ``data`` in an order in which those of ``starts`` that agree in ``width`` bytes are neighbours; and the first 8 bytes of each suffix as a number.
 
-def refine(doc: np.ndarray, lo: np.ndarray, n: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans that repeat an earlier window, by bucket-pointer refinement of all suffixes of the given parts."""
+    ``pointer`` has for each suffix where its bucket begins in the order, and
+    ``depth`` for each beginning how many bytes its bucket is known to share.
+    """
     size = len(data)
     gram, bits = np.zeros(size, dtype=np.uint64), data.astype(np.uint64)
-    for k in range(8):
+    for k in range(min(8, size)):
         gram[: size - k] |= bits[k:] << np.uint64(8 * (7 - k))
-    bucket, covered = _identifiers(gram), 8
-    shift = np.uint64(max(1, size.bit_length()))
-    while covered < width:
-        offset = min(covered, width - covered)
-        later = np.zeros(size, dtype=np.uint64)
-        later[: size - offset] = bucket[offset:]
-        bucket = _identifiers((bucket << shift) | later)
-        covered += offset
+    order = np.argsort(gram, kind="stable")
+    sorted_ = gram[order]
+    heads = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    counts = np.diff(np.append(heads, size))
+    pointer, depth = np.empty(size, dtype=np.int64), np.full(size, 8, dtype=np.int64)
+    pointer[order] = np.repeat(heads, counts)
+    asked = np.zeros(size, dtype=np.int64)
+    asked[starts] = 1
+    open_ = (counts > 1) & (np.add.reduceat(asked[order], heads) > 0) & (width > 8)
+    heads, counts = heads[open_], counts[open_]
+    while len(heads):
+        left, ends, lo = [], np.cumsum(counts), 0
+        while lo < len(heads):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + lot, "right")))
+            h, n = heads[lo:hi], counts[lo:hi]
+            lo = hi
+            place = np.repeat(h - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            own, bucket = order[place], np.repeat(np.arange(len(h)), n)
+            later = own + np.repeat(depth[h], n)
+            # Behind the end of the data each suffix has a number of its own, below all pointers.
+            key = np.where(later < size, pointer[np.minimum(later, size - 1)], size - 1 - later)
+            ranked = np.lexsort((key, bucket))
+            own, key = own[ranked], key[ranked]
+            first = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])]))
+            n, at = np.diff(np.append(first, len(own))), place[first]
+            reached = depth[h][bucket[first]] + np.where(key[first] >= 0, depth[key[first]], 0)
+            order[place], pointer[own], depth[at] = own, np.repeat(at, n), reached
+            open_ = (n > 1) & (reached < width) & (np.add.reduceat(asked[own], first) > 0)
+            left.append((at[open_], n[open_]))
+        heads, counts = (np.concatenate(x) for x in zip(*left, strict=True))
+    return order, gram
+
+
+def refine(doc: np.ndarray, lo: np.ndarray, n: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans that repeat an earlier window, by bucket-pointer refinement of all suffixes of the given parts."""
     part = np.repeat(np.arange(len(n)), n)
     step = np.arange(len(part)) - np.repeat(np.cumsum(n) - n, n)
-    ids, docs, places = bucket[offsets[part] + step], doc[part], lo[part] + step
-    order = np.lexsort((places, docs, ids))
-    ids, docs, places = ids[order], docs[order], places[order]
-    fresh = np.ones(len(ids), dtype=bool)
-    fresh[1:] = ids[1:] != ids[:-1]
+    starts = offsets[part] + step
+    order, gram = suffix_order(data, starts, width)
+    rank = np.empty(len(data), dtype=np.int64)
+    rank[order] = np.arange(len(data))
+    near = np.argsort(rank[starts])
+    docs, places, starts = doc[part[near]], lo[part[near]] + step[near], starts[near]
+    fresh = np.ones(len(starts), dtype=bool)
+    same = np.ones(max(0, len(starts) - 1), dtype=bool)
+    for at in [*range(0, width - 8, 8), width - 8]:
+        word = gram[starts + at]
+        same &= word[1:] == word[:-1]
+    fresh[1:] = ~same
+    ids = np.cumsum(fresh)
+    ranked = np.lexsort((places, docs, ids))
+    docs, places = docs[ranked], places[ranked]
     lead = np.maximum.accumulate(np.where(fresh, np.arange(len(ids)), 0))
     again = (docs != docs[lead]) | (places != places[lead])
     return _spans(docs[again], places[again], places[again] + width)
@@ -249,8 +301,7 @@ def refined(parts: DataFrame, width: int, most: int = 16_000) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def out(table: pa.Table) -> pa.RecordBatch:
-            h = table.column("h")
-            alone = h.is_null().to_numpy()
+            alone = table.column("part").is_null().to_numpy()
             doc, lo, n = (table.column(c).to_numpy() for c in ("doc", "lo", "n"))
             d, a, b = doc[alone], lo[alone], lo[alone] + n[alone] + width - 1
             column = table.column("part").filter(pa.array(~alone)).combine_chunks().cast(pa.large_binary())
