@@ -63,6 +63,36 @@ def test_repeats_agree_with_brute_force(spark, split_over, monkeypatch):
     assert got == removal(list(enumerate(texts)), 100)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_refinement_is_exact(seed):
+    """Small alphabets, runs of one byte, periods and zeros, in small lots, against a table of all windows."""
+    rng = random.Random(seed)
+    alphabet = [b"a", b"ab", b"\0\1", b"abcd"][seed % 4]
+    width, parts, shared = 32, [], bytes(rng.choice(alphabet) for _ in range(90))
+    for _ in range(30):
+        kind = rng.randrange(4)
+        text = bytes(rng.choice(alphabet) for _ in range(rng.randint(32, 90)))
+        parts.append([text, shared[: rng.randint(32, 90)], alphabet[:1] * rng.randint(32, 70), (text[: rng.randint(1, 9)] * 90)[:80]][kind])
+    doc = np.array([rng.randrange(12) for _ in parts])
+    lo = np.array([200 * k for k in range(len(parts))])
+    n = np.array([len(x) - width + 1 for x in parts])
+    data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    offsets = np.cumsum([0, *map(len, parts)])[:-1]
+    places: dict[bytes, list] = {}
+    for d, at, part in zip(doc.tolist(), lo.tolist(), parts, strict=True):
+        for j in range(len(part) - width + 1):
+            places.setdefault(part[j : j + width], []).append((d, at + j))
+    want = {(d, b) for where in places.values() for d, at in sorted(where)[1:] for b in range(at, at + width)}
+    order = repeats.suffix_order
+    for lot in (1 << 17, 5):
+        repeats.suffix_order = lambda *a, lot=lot: order(*a, lot=lot)
+        try:
+            got = repeats.refine(doc, lo, n, data, offsets, width)
+        finally:
+            repeats.suffix_order = order
+        assert {(d, b) for d, x, y in zip(*(v.tolist() for v in got), strict=True) for b in range(x, y)} == want
+
+
 def test_repeats_of_one_row_given_twice(spark):
     text = " ".join(f"word{k}" for k in range(60))
     got = [r.n_removed for r in repeats.removal(docs(spark, [text, text, None], [1, 1, None])).collect()]
