@@ -203,11 +203,18 @@ def bin_pack(t):
 @query("""select a.p_partkey, b.p_partkey candidate, levenshtein(a.p_name, b.p_name) as distance, row_number() over (partition by a.p_partkey order by levenshtein(a.p_name, b.p_name), b.p_partkey) place
   from part a join part b on a.p_brand = b.p_brand and a.p_type = b.p_type and a.p_partkey <> b.p_partkey qualify place <= 3""")
 def top3_candidates(t):
-    """The three nearest names of the same brand and type."""
-    a = t("part").select("p_partkey", "p_name", "p_brand", "p_type")
-    b = t("part").select(F.col("p_partkey").alias("candidate"), F.col("p_name").alias("other"), "p_brand", "p_type")
-    pairs = a.join(b, ["p_brand", "p_type"]).where("p_partkey <> candidate").withColumn("distance", F.levenshtein("p_name", "other").cast("bigint"))
-    return lookups.top_per_key(pairs, ["p_partkey"], [F.col("distance"), F.col("candidate")], 3).select("p_partkey", "candidate", "distance", F.col("place").cast("bigint").alias("place"))
+    """The three nearest names of the same brand and type.
+
+    Names are compared, not parts: each name of a group stands for its four least keys, of which one may be the part itself.
+    """
+    group = ["p_brand", "p_type"]
+    parts = t("part").select("p_partkey", "p_name", *group)
+    pool = lookups.top_per_key(parts.select(*group, F.col("p_name").alias("other"), F.col("p_partkey").alias("candidate")), [*group, "other"], [F.col("candidate")], 4).drop("place")
+    names = parts.select(*group, "p_name").distinct().join(pool, group).withColumn("distance", F.levenshtein("p_name", "other").cast("bigint"))
+    order = [F.col("distance"), F.col("candidate")]
+    near = lookups.top_per_key(names, [*group, "p_name"], order, 4).drop("place", "other")
+    pairs = parts.join(near, [*group, "p_name"]).where("p_partkey <> candidate")
+    return lookups.top_per_key(pairs, ["p_partkey"], order, 3).select("p_partkey", "candidate", "distance", F.col("place").cast("bigint").alias("place"))
 
 
 @query("""with c as (select conv_id, turn, text, 'M' || row_number() over (partition by conv_id order by turn) as alias, count(*) over (partition by conv_id) size from conversations)
