@@ -20,7 +20,8 @@ would shuffle a row for every byte, so suffixes are first sampled and bucketed:
 
 Tasks combine equal runs before they are shuffled, so a passage that stands in a
 third of all documents costs a row for each task, not for each document.  A
-bucket with very many contents is dealt out by window instead of by anchor.
+bucket with very many contents is spread by content from the start, if a share of the documents shows
+it beforehand, and dealt out by window instead of by anchor.
 Documents are shuffled by id once; both joins with them use that shuffle.
 """
 
@@ -39,6 +40,8 @@ from .shared import stored
 
 WIDTH = 100
 GRAM = 32
+#: Buckets of about so many rows are spread over so many tasks; the share of documents they are looked for in, and how many are told apart at most.
+HOT_ROWS, HOT_SALTS, HOT_SHARE, HOT_MOST = 20_000, 256, 64, 10_000
 #: Bits of an anchor's place inside a segment.
 _PLACE_BITS = 21
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
@@ -335,16 +338,28 @@ def refined(parts: DataFrame, width: int, most: int = 16_000) -> DataFrame:
     return dealt.mapInArrow(run, "doc long, lo long, hi long")
 
 
+def hot_buckets(docs: DataFrame, width: int) -> DataFrame:
+    """``h``: at most ``HOT_MOST`` buckets of which one document in ``HOT_SHARE`` shows that they have some ``HOT_ROWS`` rows or more.
+
+    This only says how rows are dealt to tasks; no result depends on it.
+    """
+    seen = anchors(docs.where(F.pmod(F.xxhash64("doc"), F.lit(HOT_SHARE)) == 0), width).where("c is not null")
+    counts = seen.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") * HOT_SHARE >= HOT_ROWS)
+    return counts.orderBy(F.col("n").desc(), "h").limit(HOT_MOST).select("h", F.lit(True).alias("hot"))
+
+
 def repeated_spans(docs: DataFrame, texts: DataFrame, width: int, split_over: int = 4000) -> DataFrame:
     """``doc, spans``: the byte spans to remove from each document that has any; ``texts`` is ``docs`` (``doc``, ``text``) dealt out by ``doc``; all its columns are read, so that its shuffle is the caller's."""
-    found = anchors(docs, width)
-    bucket, content = Window.partitionBy("h"), Window.partitionBy("h", "c").orderBy("doc", "lo")
+    found = anchors(docs, width).join(F.broadcast(hot_buckets(docs, width)), "h", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    # A hot bucket is spread by content.  Its rows all go on to the refinement, window by window, so nothing has to be known about it as a whole.
+    found = found.withColumn("salt", F.when(F.col("hot"), F.pmod(F.coalesce("c", F.lit(0)), F.lit(HOT_SALTS))).otherwise(0))
+    bucket, content = Window.partitionBy("h", "salt"), Window.partitionBy("h", "salt", "c").orderBy("doc", "lo")
     found = found.withColumn("first_doc", F.first("doc").over(content)).withColumn("first_lo", F.first("lo").over(content))
     found = found.withColumn("c_min", F.min("c").over(bucket)).withColumn("c_max", F.max("c").over(bucket)).withColumn("rows", F.count("*").over(bucket))
     first = (F.col("doc") == F.col("first_doc")) & (F.col("lo") == F.col("first_lo"))
-    found = found.withColumn("whole", F.col("c").isNull() | ~first).where("whole or c_min <> c_max")
+    found = found.withColumn("whole", F.col("c").isNull() | ~first).where("whole or hot or c_min <> c_max")
     length = F.when(F.col("c").isNull(), F.col("n")).otherwise(F.col("n") + (width - 1))
-    marks = stored(found.select("whole", "h", "doc", "lo", "n", length.alias("length"), (F.col("rows") > split_over).alias("split")), "marks")
+    marks = stored(found.select("whole", "h", "doc", "lo", "n", length.alias("length"), ((F.col("rows") > split_over) | F.col("hot")).alias("split")), "marks")
     wanted = marks.where("not whole").groupBy("doc").agg(F.collect_list(F.struct("h", "lo", "n", "split")).alias("wanted"))
     parts = contexts(texts.join(wanted.hint("shuffle_hash"), "doc").select("doc", "text", "wanted", *texts.columns[2:]), width)
     spans = marks.where("whole").select("doc", "lo", (F.col("lo") + F.col("length")).alias("hi")).unionByName(refined(parts, width))

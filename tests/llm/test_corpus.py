@@ -53,9 +53,13 @@ def messy_texts(seed=4):
     return texts
 
 
-@pytest.mark.parametrize("split_over", [4000, 2])
-def test_repeats_agree_with_brute_force(spark, split_over, monkeypatch):
+@pytest.mark.parametrize(("split_over", "hot_rows"), [(4000, 20_000), (2, 20_000), (4000, 3)])
+def test_repeats_agree_with_brute_force(spark, split_over, hot_rows, monkeypatch):
     texts = messy_texts()
+    if hot_rows < 20_000:
+        monkeypatch.setattr(repeats, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(repeats, "HOT_SHARE", 1)
+        monkeypatch.setattr(repeats, "HOT_SALTS", 3)
     whole = repeats.repeated_spans
     monkeypatch.setattr(repeats, "repeated_spans", lambda d, t, w: whole(d, t, w, split_over))
     out = repeats.removal(docs(spark, texts))
