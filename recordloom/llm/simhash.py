@@ -34,6 +34,8 @@ SEED = 42
 FAN = 16
 #: Keys of a document for near copies, and the least values that each is made of.
 BANDS, ROWS = 24, 4
+#: Sets of a key that are compared with each other at once.
+BLOCK = 512
 _XOR, _TIMES = (np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 #: ASCII capitals to small letters.
@@ -305,6 +307,83 @@ def alike(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int, share
     return out
 
 
+def joining(node: np.ndarray, label: np.ndarray, block: np.ndarray, sets: list[np.ndarray], share: float, across: bool) -> list[tuple[int, int]]:
+    """Links between sets with different labels that overlap by ``share`` or more, as many as join the labels; with ``across`` only between blocks.
+
+    Overlaps of one set with all others are counted through a list of the holders of each of its hashes;
+    sets of the most frequent label are only found by others.
+    """
+    n, size = len(node), np.array([len(s) for s in sets])
+    label = np.unique(label, return_inverse=True)[1]
+    if n < 2 or not label.any():
+        return []
+    token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    ends = np.cumsum(size)
+    order = np.argsort(token, kind="stable")
+    holder = np.repeat(np.arange(n), size)[order]
+    last = np.cumsum(np.bincount(token))
+    out = []
+    for k in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
+        own = token[ends[k] - size[k] : ends[k]]
+        count = last[own] - np.where(own > 0, last[own - 1], 0)
+        at = np.repeat(last[own] - np.cumsum(count), count) + np.arange(int(count.sum()))
+        common = np.bincount(holder[at], minlength=n)
+        near = (common >= share * (size[k] + size - common) - 1e-9) & (label != label[k])
+        if across:
+            near &= block != block[k]
+        for j in np.flatnonzero(near).tolist():
+            if label[j] != label[k]:
+                out.append((int(min(node[j], node[k])), int(max(node[j], node[k]))))
+                label[label == label[j]] = label[k]
+    return out
+
+
+def links_within(open_: DataFrame, nodes: DataFrame, rows: DataFrame, words: int, share: float) -> DataFrame:
+    """``a, b``: links between different classes inside the bands of ``open_`` (``band, node, class``), stored.
+
+    The sets of a band meet in one task, those of a large band block by block: a task holds ``2 * BLOCK`` sets at most.
+    Only links leave a task, at most one for each set.
+    """
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).cast(pa.large_binary())
+            got = [shingle_set(texts[k].as_py() or b"", words) for k in range(len(texts))]
+            yield pa.RecordBatch.from_arrays([pa.array([n for _, n in got], pa.int64()), pa.array([h.tobytes() for h, _ in got], pa.binary())], ["node", "hashes"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def out() -> pa.RecordBatch:
+            node, label, block = (np.array([h[k] for h in held], dtype=np.int64) for k in range(3))
+            found = joining(node, label, block, [np.frombuffer(h[3], dtype=np.uint64) for h in held], share, now[1] != now[2]) if held else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(6)] + [batch.column(6)]
+            for k, key in enumerate(zip(*columns[:3], strict=True)):
+                if key != now:
+                    if len(held) > 1:
+                        yield out()
+                    now, held = key, []
+                held.append((columns[3][k], columns[4][k], columns[5][k], columns[6][k].as_py()))
+        if len(held) > 1:
+            yield out()
+
+    ids = nodes.join(open_.select("node").distinct(), "node", "left_semi").select("doc_id").distinct()
+    # Rows that share an id may have other sets; those that no band asks for find no partner below.
+    sets = rows.join(ids, "doc_id", "left_semi").select("text").mapInArrow(shingles, "node long, hashes binary")
+    sets = stored(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingle-sets")
+    counts = open_.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    placed = open_.join(counts, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    spread = spread.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "class", "block")
+    dealt = spread.join(sets, "node").repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "node")
+    found = stored(dealt.select("band", "lo", "hi", "node", "class", "block", "hashes").mapInArrow(compare, "a long, b long").distinct(), "links")
+    dropped(sets)
+    return found
+
+
 def near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, component_id`` for every row of ``docs`` with an id.
 
@@ -314,8 +393,8 @@ def near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, text: str =
 
     Candidates share one of ``BANDS`` keys of ``ROWS`` least values each: a pair at
     0.8 has none with a chance of 3 in a million.  First the sets of a key
-    are compared with its least one; then all that are still in different classes
-    are compared with each other, so a large class costs no square of its size.
+    are compared with its least one; then those of a key that are still in different classes
+    are compared inside tasks, which give the links that join them and no other pairs.
     """
     rows = docs.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     found = stored(sketches(rows, words), "sketches")
@@ -326,13 +405,10 @@ def near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, text: str =
     first = stored(dealt.join(centres, "band").where((F.col("node") != F.col("centre")) & near("size", "centre_size")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
     links = alike(first, nodes, rows, words, share)
     roots = components(links)
-    classed = stored(dealt.join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("class")), "classed")
+    classed = stored(dealt.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("class")), "classed")
     mixed = classed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band")
     open_ = stored(classed.join(mixed, "band", "left_semi"), "open")
-    of = lambda end: open_.select("band", F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("class").alias(f"class_{end}"))
-    pairs = of("a").join(of("b"), "band").where((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & near("size_a", "size_b")).select("a", "b").distinct()
-    more = alike(stored(pairs.join(first, ["a", "b"], "left_anti"), "candidates"), nodes, rows, words, share)
-    roots = components(links.unionByName(more))
+    roots = components(links.unionByName(links_within(open_, nodes, rows, words, share)))
     classes = found.select("doc_id", "node").join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return classes.join(least, "root").select("doc_id", "component_id")

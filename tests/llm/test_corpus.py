@@ -169,8 +169,10 @@ def test_simhash_agrees_with_brute_force(spark):
     assert simhash.near_duplicates(docs(spark, texts).limit(0)).count() == 0
 
 
-def test_one_of_near_copies(spark):
+@pytest.mark.parametrize("block", [512, 3])
+def test_one_of_near_copies(spark, block, monkeypatch):
     """Texts of 64 to 250 words with one to six words changed, against brute force over all pairs."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
     rng = random.Random(4)
     texts = []
     for n in (64, 90, 120, 180, 250):
@@ -193,6 +195,28 @@ def test_one_of_near_copies(spark):
     assert len(set(parent)) < len(texts) // 2
 
 
+@pytest.mark.parametrize("across", [False, True])
+def test_links_inside_a_key_are_whole(across):
+    """What joins the labels, against all pairs."""
+    for seed in range(20):
+        rng = random.Random(seed)
+        sets = [np.array(sorted(rng.sample(range(24), rng.randint(8, 20))), dtype=np.uint64) for _ in range(40)]
+        label, block = np.array([rng.randrange(1, 30) for _ in sets]), np.array([rng.randrange(2) for _ in sets])
+        got = simhash.joining(np.arange(40) * 10, label.copy(), block, sets, 0.8, across)
+
+        def classes(links, label=label):
+            parent = {int(x): int(x) for x in label}
+            find = lambda x: x if parent[x] == x else find(parent[x])
+            for a, b in links:
+                parent[find(int(label[b]))] = find(int(label[a]))
+            return {frozenset(y for y in parent if find(y) == x) for x in map(find, parent)}
+
+        alike = lambda i, j: len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))
+        want = [(i, j) for i in range(40) for j in range(i) if alike(i, j) and (not across or block[i] != block[j])]
+        assert classes([(a // 10, b // 10) for a, b in got]) == classes(want)
+        assert all(alike(a // 10, b // 10) for a, b in got) and len(got) < 40
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_gray_index_is_exact(seed):
     rng = np.random.default_rng(seed)
