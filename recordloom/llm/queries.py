@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import decontamination, html_text, licenses, packing, quality_rules, quotations, repeats, sharding, simhash, url_filters
+from . import decontamination, divergence, filter_audit, html_text, licenses, packing, quality_rules, quotations, repeats, secret_scan, sharding, simhash, url_filters
 from .shared import new_path
 
 
@@ -152,7 +152,125 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_suffix_dedup, op3_html_text, op4_packing, op5_sharding, op6_quotations, op7_simhash, op8_quality_rules, op9_decontamination, op10_license_scan)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+with t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by text) as least from t),
+m as (
+  select part, doc_id,
+         case when len(words) < 200 then 1 else 0 end
+         + case when 100 * len(list_distinct(words)) < 50 * len(words) then 2 else 0 end
+         + case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) then 4 else 0 end
+         + case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end
+         + case when doc_id > least then 16 else 0 end as mask,
+         exists (select 1 from labels l where l.doc_id = w.doc_id and quality = 1) as good,
+         exists (select 1 from labels l where l.doc_id = w.doc_id and toxic = 1) as toxic
+  from w),
+cells as (select part, mask, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic from m group by part, mask),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps as (
+  select filter_order, step, 1 << instr('ABCDE', filter_order[step]) - 1 as bit,
+         coalesce(list_sum([1 << instr('ABCDE', x) - 1 for x in string_split(filter_order[:step - 1], '') if x <> '']), 0)::int as before
+  from orders, (select unnest([1, 2, 3, 4, 5]) as step)),
+r as (
+  select part, filter_order, step, bit,
+         coalesce(sum(n) filter (where mask & (bit | before) = 0), 0)::bigint as kept,
+         coalesce(sum(n) filter (where mask & bit <> 0 and mask & before = 0), 0)::bigint as removed,
+         coalesce(sum(n) filter (where mask & bit <> 0 and mask & before <> 0), 0)::bigint as redundant,
+         coalesce(sum(n) filter (where mask = bit), 0)::bigint as unique_fails,
+         coalesce(sum(good) filter (where mask & bit <> 0 and mask & before = 0), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter (where mask & bit <> 0 and mask & before = 0), 0)::bigint as toxic_lost
+  from cells, steps group by part, filter_order, step, bit)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, bit))::bigint as shapley
+from r
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with t as (
+  select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+words as (select doc, lang, source, unnest(terms) as term from t),
+kept as (select lang, term from words group by lang, term having count(distinct doc) >= 30),
+v as (select lang, count(*) as v from kept group by lang),
+groups as (select distinct lang, source from t),
+n as (select lang, source, term, count(*) as n from words join kept using (lang, term) group by lang, source, term),
+total as (select lang, source, sum(n) as total from n group by lang, source),
+whole as (select lang, sum(n) as total from n group by lang),
+p as (
+  select g.lang, g.source, k.term, coalesce(n.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(n.n, 0) + 5)) // (coalesce(total.total, 0)::hugeint + 5 * v.v) as p
+  from groups g join kept k using (lang) join v using (lang) left join n using (lang, source, term) left join total using (lang, source)),
+q as (
+  select lang, term, 1 + (1000000000::hugeint * (sum(n) + 5)::hugeint) // (any_value(whole.total)::hugeint + 5 * any_value(v.v)) as q
+  from n join whole using (lang) join v using (lang) group by lang, term),
+f as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as f from p a join p b using (lang, term) where a.source <> b.source group by all),
+pairs as (
+  select g.lang, g.source, 'pair' as part, o.source as item, coalesce(f.f, 0)::bigint as value
+  from groups g join groups o on o.lang = g.lang and o.source <> g.source left join f on f.lang = g.lang and f.source = g.source and f.item = o.source),
+terms as (select lang, source, 'term' as part, term as item, (p - q)::bigint as value from p join q using (lang, term) where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+  from (select * from pairs union all select * from terms))
+select * from ranked where part = 'pair' or rank <= 50
+"""
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(_table(spark, sf_dir, "documents"))
+
+
+def _secrets_sql() -> str:
+    """For each rule the matches, and the text between them, one after the other."""
+    parts = []
+    for nth, rule in enumerate(secret_scan.BASE + secret_scan.MORE):
+        pattern = rule.pattern.replace("'", "''")
+        if rule.kind == "assign":
+            # RE2's (?i) reaches beyond ASCII: the letters one by one.
+            words = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+            pattern = f"({words})" + pattern[pattern.index("))") + 2 :]
+        if rule.kind == "bearer":
+            pattern = "[Bb][Ee][Aa][Rr][Ee][Rr]" + pattern[pattern.index(")") + 1 :]
+        parts.append(
+            f"""
+  select k, {nth} as nth, '{rule.kind}' as kind, unnest(range(1, len(m) + 1)) as i, unnest(m) as m, unnest(gaps[:len(m)]) as gap, unnest(part) as part, {rule.least} as least
+  from (select k, regexp_extract_all(text, '{pattern}') as m, string_split_regex(text, '{pattern}') as gaps, regexp_extract_all(text, '{pattern}', {rule.group}) as part from t)"""
+        )
+    return f"""
+with t as (select row_number() over () as k, doc_id, coalesce(text, '') as text from documents),
+every as ({" union all ".join(parts)}),
+ends as (select *, (sum(length(gap) + length(m)) over (partition by k, nth order by i))::bigint as stop from every),
+found as (select k, nth, kind, kind || ':' || (stop - length(m)) || ':' || stop as span, stop - length(m) as start from ends where length(part) >= least),
+per as (
+  select k, count(*) filter (where nth = 0) as n_assign, count(*) filter (where nth = 1) as n_access, count(*) filter (where nth = 2) as n_hex,
+         string_agg(span, ',' order by start, nth) filter (where nth < 3) as base, string_agg(span, ',' order by start, nth) as spans
+  from found group by k)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from t left join per using (k)
+"""
+
+
+ALL = (
+    op1_url_filters, op2_suffix_dedup, op3_html_text, op4_packing, op5_sharding, op6_quotations, op7_simhash, op8_quality_rules,
+    op9_decontamination, op10_license_scan, op11_filter_audit, op12_source_divergence, op13_secret_scan,
+)
+QUERIES = {f.__name__: f for f in ALL}
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL = {"op1_url_filters": OP1_SQL, "op5_sharding": OP5_SQL, "op6_quotations": OP6_SQL}
+ORACLE_SQL = {
+    "op1_url_filters": OP1_SQL, "op5_sharding": OP5_SQL, "op6_quotations": OP6_SQL,
+    "op11_filter_audit": OP11_SQL, "op12_source_divergence": OP12_SQL, "op13_secret_scan": _secrets_sql(),
+}
