@@ -79,7 +79,7 @@ heads as (
 votes as (select address, name, count(*) as n, min(key) as first, min(native) as native from heads where name is not null group by address, name),
 head as (
   select address, best.name, best.native, most, all_n
-  from (select address, arg_min({'name': name, 'native': native}, (-n, first, name)) as best, max(n) as most, list(n) as all_n from votes group by address)),
+  from (select address, arg_min({{'name': name, 'native': native}}, (-n, first, name)) as best, max(n) as most, list(n) as all_n from votes group by address)),
 signs as (select address, case when box = 3 then 'An ' || full_name else upper(g[1]) || g[2:] end as latin, case when known and box = 2 then han end as han, count(*) as n, min(key) as first
           from n where form in (5, 6) group by all),
 strong as (select *, han is not null or latin like '% %' as strong from signs),
