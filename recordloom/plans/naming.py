@@ -1,10 +1,10 @@
-"""Queries on people's names: surnames by longest prefix, and names out of headers and signatures."""
+"""Queries on names: surnames by longest prefix, names out of headers and signatures, companies in two scripts."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import people
+from ..operators import people, resolve
 from .registry import query
 
 GIVEN = ("wei", "na", "ming", "xiao", "anna", "gang")
@@ -110,3 +110,75 @@ def names_of_senders(t):
     rows = o.select("key", address.alias("address"), display.alias("display"), text.alias("text"))
     known = rows.sparkSession.createDataFrame([(x,) for x in HAN_SURNAMES], "surname string")
     return people.names_of_senders(rows, "key", "address", "display", "text", "key", known)
+
+
+_CONSONANTS, _VOWELS = "bdfghjklmnprstwz", ("a", "e", "i", "o", "u")
+_LETTERS = "bcdfghklmnprstvz"
+
+
+def syllable(n: int) -> str:
+    return _CONSONANTS[n % 16] + _VOWELS[n // 16 % 5]
+
+
+def invented_readings() -> list[tuple[str, str]]:
+    """Readings by rule for 256 Chinese letters; every fourth has two."""
+    return [(chr(0x4E00 + n), syllable(n + 37 * k)) for n in range(256) for k in range(2 if n % 4 == 0 else 1)]
+
+
+_HAN_CASE = f"""
+with c as (
+  select c_custkey as key, c_custkey % 2 = 0 as han, c_custkey // 2 % 9 as k, 'CR' || lpad(cast(c_custkey as varchar), 7, '0') as code, md5(cast(c_custkey as varchar)) as h from customer),
+n as (
+  select *, translate(h[:14], '0123456789abcdef', '{_LETTERS}') as w, [cast('0x' || h[2 * i - 1:2 * i] as int) for i in range(1, 9)] as b from c),
+s as (
+  select *, array_to_string([chr(19968 + x) for x in b], '') as cn,
+         [substr('{_CONSONANTS}', x % 16 + 1, 1) || substr('aeiou', x // 16 % 5 + 1, 1) for x in b] as first,
+         [substr('{_CONSONANTS}', (x + 37) % 16 + 1, 1) || substr('aeiou', (x + 37) // 16 % 5 + 1, 1) for x in b] as second, len([x for x in b if x % 4 = 0]) as doubles from n),
+f as (
+  select *, case when k = 6 then 'Shanghai ' else '' end || w[:8] || ' ' || w[9:] || ' Ltd' as latin,
+         case when han then case k when 0 then cn || '有限公司' when 1 then array_to_string(first, '') when 2 then array_to_string([case when b[i] % 4 = 0 then second[i] else first[i] end for i in range(1, 9)], '')
+                when 3 then array_to_string(first[:7], '') when 4 then cn[:7] when 5 then cn[:3] || cn[5:] when 6 then cn when 7 then '龘靐' || translate(cast(key as varchar), '0123456789', '齉爩鱻麤龗灪吁龖厵滟') else cn || '某' end
+         else case k when 1 then code || ' ' || w[:8] || ' ' || w[9:] when 2 then code || ' yyyy yyyyyy' when 3 then w[:4] || w[6:] || ' Ltd' when 4 then 'Yoyuyi ' || translate(cast(key as varchar), '0123456789', 'eiouyaqjxw')
+                when 5 then w[:12] when 6 then 'Beijing ' || w[:8] || ' ' || w[9:] when 7 then repeat('?', key % 5 + 1) when 8 then 'Hong Kong' else w[:8] || ' ' || w[9:] || ' Ltd' end end as written
+  from s)
+select distinct written,
+       case when han and k in (1, 2, 3) and doubles > 6 then null when han and k in (0, 1, 2, 3, 4, 5) or not han and k in (0, 1, 3, 5) then code end as code,
+       case when han and k in (1, 2, 3) and doubles > 6 then 1.0 when han and k in (1, 2) then 0.95 when han and k in (3, 4) or not han and k = 5 then 0.9 when han and k = 5 then round(200 * 7 / 15.0 * 0.95 / 100, 4)
+            when not han and k = 3 then round(200 * 13 / 27.0 * 0.95 / 100, 4) when not han and k = 2 then 0.8 when not han and k = 6 then 0.89 when han and k = 6 or not han and k = 7 then 0.0 else 1.0 end::double as score,
+       case when han then case k when 0 then 'exact' when 4 then 'contains' when 5 then 'fuzzy' when 6 then 'ambiguous' when 7 then 'new' when 8 then 'new' else case when doubles > 6 then 'new' else 'pinyin' end end
+            else case k when 1 then 'code' when 2 then 'review' when 3 then 'fuzzy' when 4 then 'new' when 5 then 'contains' when 6 then 'review' when 7 then 'none' when 8 then 'new' else 'exact' end end as method
+from f
+"""
+
+
+@query(_HAN_CASE)
+def company_cascade_in_two_scripts(t):
+    """Every way through the cascade: Chinese names spelled in Latin letters (by either reading, or their beginning), a code beside another name,
+    twins, places apart, names of one place only, answers given before, and what the one-script query has."""
+    key, h = F.col("c_custkey"), F.md5(F.col("c_custkey").cast("string"))
+    letters = F.array(*[F.lit(chr(0x4E00 + n)) for n in range(256)])
+    ways = [F.array(*[F.lit(syllable(n + 37 * (k and n % 4 == 0))) for n in range(256)]) for k in (0, 1)]
+    numbers = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring("h", 2 * i + 1, F.lit(2)), 16, 10).cast("int"))
+    said = lambda table, n: F.array_join(F.transform(F.slice("b", 1, n), lambda x: F.get(table, x)), "")
+    c = t("customer").select(key, (key % 2 == 0).alias("han"), (F.floor(key / 2) % 9).alias("k"), F.concat(F.lit("CR"), F.lpad(key.cast("string"), 7, "0")).alias("code"), h.alias("h"))
+    c = c.withColumns({"w": F.translate(F.substring("h", 1, 14), "0123456789abcdef", _LETTERS), "b": numbers})
+    c = c.withColumn("cn", F.array_join(F.transform("b", lambda x: F.get(letters, x)), ""))
+    cut = lambda a, b: F.substring("w", a, b)
+    plain, k, written = F.concat(cut(1, 8), F.lit(" "), cut(9, 6)), F.col("k"), None
+    digits = lambda text: F.translate(key.cast("string"), "0123456789", text)
+    chinese = [
+        F.concat("cn", F.lit("有限公司")), said(ways[0], 8), said(ways[1], 8), said(ways[0], 7), F.substring("cn", 1, 7), F.concat(F.substring("cn", 1, 3), F.substring("cn", 5, 4)), F.col("cn"),
+        F.concat(F.lit("龘靐"), digits("齉爩鱻麤龗灪吁龖厵滟")), F.concat("cn", F.lit("某")),
+    ]
+    latin = [
+        F.concat(plain, F.lit(" Ltd")), F.concat_ws(" ", "code", plain), F.concat("code", F.lit(" yyyy yyyyyy")), F.concat(cut(1, 4), cut(6, 9), F.lit(" Ltd")), F.concat(F.lit("Yoyuyi "), digits("eiouyaqjxw")),
+        cut(1, 12), F.concat(F.lit("Beijing "), plain), F.repeat(F.lit("?"), (key % 5 + 1).cast("int")), F.lit("Hong Kong"),
+    ]
+    pick = lambda cases: F.element_at(F.array(*cases), (k + 1).cast("int"))
+    written = F.when(F.col("han"), pick(chinese)).otherwise(pick(latin))
+    name = F.when(F.col("han"), F.concat("cn", F.lit("股份有限公司"))).otherwise(F.concat(F.when(k == 6, "Shanghai ").otherwise(""), plain, F.lit(" Ltd")))
+    master = c.select("code", name.alias("name"))
+    twins = c.where("han and k = 6").select(F.concat(F.lit("T"), "code").alias("code"), name.alias("name"))
+    decided = c.where("han and k = 8").select("cn")
+    readings = c.sparkSession.createDataFrame(invented_readings(), "letter string, reading string")
+    return resolve.match_companies(c.select(written.alias("written")), "written", master.unionByName(twins), "name", "code", decided, readings)

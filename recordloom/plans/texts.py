@@ -135,11 +135,11 @@ _LETTERS = "bcdfghklmnprstvz"
 
 @query(f"""with m as (select c_custkey, 'CR' || lpad(cast(c_custkey as varchar), 7, '0') as code, translate(substr(md5(cast(c_custkey as varchar)), 1, 14), '0123456789abcdef', '{_LETTERS}') as w from customer),
   n as (select *, c_custkey % 5 as k, left(w, 8) || ' ' || right(w, 6) || ' Ltd' as name from m)
-  select case k when 0 then name when 1 then '(old) ' || name || ' Co., Ltd.' when 2 then left(w, 4) || right(w, 9) || ' Ltd' when 3 then code || ' someone' else 'Yoyuyi ' || translate(cast(c_custkey as varchar), '0123456789', 'eiouyaqjxw') end as written,
+  select case k when 0 then name when 1 then '(old) ' || name || ' Co., Ltd.' when 2 then left(w, 4) || right(w, 9) || ' Ltd' when 3 then code || ' ' || name else 'Yoyuyi ' || translate(cast(c_custkey as varchar), '0123456789', 'eiouyaqjxw') end as written,
     case k when 4 then null else code end as code, case k when 2 then round(200 * 13 / 27.0 * 0.95 / 100, 4) else 1.0 end::double as score,
     case k when 2 then 'fuzzy' when 3 then 'code' when 4 then 'new' else 'exact' end as method from n""")
 def company_cascade(t):
-    """Every customer's name as it is, with other legal forms, with a letter lost, by its code, or unknown, against all customers as master."""
+    """Every customer's name as it is, with other legal forms, with a letter lost, with its code, or unknown, against all customers as master."""
     key = F.col("c_custkey")
     w = F.translate(F.substring(F.md5(key.cast("string")), 1, 14), "0123456789abcdef", _LETTERS)
     name = F.concat(F.substring("w", 1, 8), F.lit(" "), F.substring("w", 9, 6), F.lit(" Ltd"))
@@ -147,7 +147,7 @@ def company_cascade(t):
     k = key % 5
     written = (
         F.when(k == 0, F.col("name")).when(k == 1, F.concat(F.lit("(old) "), F.col("name"), F.lit(" Co., Ltd.")))
-        .when(k == 2, F.concat(F.substring("w", 1, 4), F.substring("w", 6, 9), F.lit(" Ltd"))).when(k == 3, F.concat("code", F.lit(" someone")))
+        .when(k == 2, F.concat(F.substring("w", 1, 4), F.substring("w", 6, 9), F.lit(" Ltd"))).when(k == 3, F.concat_ws(" ", "code", "name"))
         .otherwise(F.concat(F.lit("Yoyuyi "), F.translate(key.cast("string"), "0123456789", "eiouyaqjxw")))
     )
     return resolve.match_companies(master.select(written.alias("written")), "written", master, "name", "code")
