@@ -137,25 +137,45 @@ def append(rows: DataFrame, base: str, shard_rows: int = 2000, small: int = 1 <<
     return version
 
 
-def merge_plan(shards: DataFrame, target: int, fanout: int, lot: int = 10_000) -> DataFrame:
+def merge_plan(shards: DataFrame, target: int, fanout: int, lot: int = 10_000, most: int = 50_000) -> DataFrame:
     """``shard, run``: which shards to rewrite together.
 
     Shards of half the target or more are done.  The others of a tier are taken
     in order of size until the target is reached; a run of fewer than ``fanout``
-    shards waits unless it fills the target.  Tiers are planned in lots of about
-    ``lot`` shards, so no task plans an unbounded tier.
+    shards waits unless it fills the target.  A run has at most ``most`` shards.
+    Tiers are planned in lots of about ``lot`` shards, so no task plans an unbounded tier.
     """
     open_ = shards.where(F.col("n_bytes") < target / 2)
     lots = open_.groupBy("tier").agg(F.ceil(F.count("*") / lot).alias("lots"))
     dealt = open_.join(F.broadcast(lots), "tier").withColumn("lot", F.pmod(F.xxhash64("shard"), F.col("lots")))  # a tier is a power of the fan-out, so there are few
     before = Window.partitionBy("tier", "lot").orderBy("n_bytes", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = dealt.withColumn("step", F.floor(F.coalesce(F.sum("n_bytes").over(before), F.lit(0)) / target))
+    size, nth = F.coalesce(F.sum("n_bytes").over(before), F.lit(0)), F.count("*").over(before)
+    placed = dealt.withColumn("step", F.concat_ws(".", F.floor(size / target), F.floor(nth / most)))
     group = Window.partitionBy("tier", "lot", "step")
     placed = placed.withColumn("members", F.count("*").over(group)).withColumn("total", F.sum("n_bytes").over(group))
     run = F.concat_ws("-", "tier", "lot", "step")
     return placed.where((F.col("members") > 1) & ((F.col("members") >= fanout) | (F.col("total") >= target))).select("shard", run.alias("run"))
 
 
+def next_runs(shards: DataFrame, target: int, fanout: int, most: int) -> list[tuple[str, str]]:
+    """``(shard, run)`` of as many whole runs as have ``most`` shards together at most, one run at least if there is any.
+
+    A run has two shards or more and ``most`` at most, so neither list that comes to the driver is longer than ``most``.
+    """
+    plan = merge_plan(shards, target, fanout, most=most)
+    names: list[str] = []
+    total = 0
+    for r in plan.groupBy("run").agg(F.count("*").alias("n")).orderBy("run").limit(max(1, most // 2)).collect():
+        if names and total + r.n > most:
+            break
+        names.append(r.run)
+        total += r.n
+    if not names:
+        return []
+    chosen = shards.sparkSession.createDataFrame([(n,) for n in names], "run string")
+    return [(r.shard, r.run) for r in plan.join(F.broadcast(chosen), "run").select("shard", "run").collect()]
+
+
 def compact(spark: SparkSession, base: str, target: int = 64 << 20, small: int = 1 << 20, fanout: int = 4, most: int = 50_000) -> int:
     """Merge until no tier has a run left to merge; the version reached.
 
@@ -164,14 +184,13 @@ def compact(spark: SparkSession, base: str, target: int = 64 << 20, small: int =
     round that another writer overtakes is planned again; the shards it wrote are
     named by no version, and :func:`vacuum` takes them away.
     """
+    most = max(2, most)
     while True:
         version = current_version(spark, base)
         if not version:
             return version
         live, schema = manifest(spark, base, version), schema_of(spark, base, version)
-        runs = merge_plan(live, target, fanout)
-        some = runs.groupBy("run").agg(F.collect_list("shard").alias("shards"), F.count("*").alias("n")).orderBy("run").limit(max(1, most // fanout))
-        picked = [(s, r.run) for r in some.collect() for s in r.shards]
+        picked = next_runs(live, target, fanout, most)
         if not picked:
             return version
         folder = f"{base}/shards/{uuid.uuid4().hex}"
