@@ -184,7 +184,7 @@ def compact(spark: SparkSession, base: str, target: int = 64 << 20, small: int =
     round that another writer overtakes is planned again; the shards it wrote are
     named by no version, and :func:`vacuum` takes them away.
     """
-    most = max(2, most)
+    most = max(fanout, most)  # a run needs so many
     while True:
         version = current_version(spark, base)
         if not version:
