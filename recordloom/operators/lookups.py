@@ -43,18 +43,20 @@ def nearest_of(candidates: Column, ref: Column) -> Column:
 def roots(messages: DataFrame, child: str, parent: str) -> DataFrame:
     """``child, root, depth`` of every message by pointer jumping; a parent that is not among the messages is the end.
 
-    A cycle has no root: its members are cut loose and get themselves.
+    A cycle has no root: its members, and what leads into it, are cut loose and get themselves.
+    Every round ends the messages up to twice as far from their root as the last, so
+    a round that ends none has only cycles left.
     """
-    known = messages.select(F.col(child).alias("k")).distinct()
-    up = messages.join(known, F.col(parent) == F.col("k"), "left").select(F.col(child).alias("child"), F.when(F.col("k") != F.col(child), F.col("k")).alias("up"))
+    known = messages.select(F.col(child).alias("known__")).distinct()
+    up = messages.join(known, F.col(parent) == F.col("known__"), "left").select(F.col(child).alias("child"), F.when(F.col("known__") != F.col(child), F.col("known__")).alias("up"))
     now = stored(up.select("child", "up", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.coalesce("up", "child").alias("root")), "roots")
-    rounds = 0
-    while not now.where("up is not null").isEmpty() and rounds < 40:
+    before = None
+    while (still := now.where("up is not null").count()) not in (0, before):
+        before = still
         onward = now.select(F.col("child").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("root").alias("end"))
         # Only messages that have not reached their end jump on.
         moved = now.where("up is not null").join(onward, "up").select("child", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("end").alias("root"))
         now = stored(now.where("up is null").unionByName(moved), "roots")
-        rounds += 1
     loop = F.col("up").isNotNull()
     return now.select(F.col("child").alias(child), F.when(loop, F.col("child")).otherwise(F.col("root")).alias("root"), F.when(loop, 0).otherwise(F.col("depth")).cast("long").alias("depth"))
 

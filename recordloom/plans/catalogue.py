@@ -1,6 +1,6 @@
 """All queries of the reference's own operators, with the SQL they must agree with."""
 
-from . import attaching, cells, changing, linking, merging, naming, papers, texts  # noqa: F401  the modules put their queries down when they are imported
+from . import attaching, cells, changing, linking, lists, merging, naming, papers, texts  # noqa: F401  the modules put their queries down when they are imported
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
