@@ -170,20 +170,30 @@ def account_numbers(cell: Column) -> Column:
         more = F.transform(phone_numbers(part), lambda g: entry(F.trim(g), F.trim(g)))
         return F.when((F.size(done) > 0) & part.rlike(r"^\s*\d{1,3}\s*$"), longer).otherwise(F.concat(done, more))
 
+    def bound(value: Column, body) -> Column:
+        # Worked out once, however often the body asks for it.
+        return F.get(F.transform(F.array(value), body), 0)
+
     def placed(token: Column) -> Column:
-        number, digits = phone_e164(token), F.regexp_replace(token, r"[\s\-().]", "")
-        return F.when(number.rlike(r"^\+\d{8,15}$"), number).when(digits.rlike(r"^[48]00\d{7}$"), F.concat(F.lit("+86"), digits))
+        digits = F.regexp_replace(token, r"[\s\-().]", "")
+        service = F.when(digits.rlike(r"^[48]00\d{7}$"), F.concat(F.lit("+86"), digits))
+        return bound(phone_e164(token), lambda n: F.when(n.rlike(r"^\+\d{8,15}$"), n).otherwise(service))
 
     def read(e: Column) -> Column:
         rest = F.coalesce(F.nullif(F.regexp_extract(e["g"], r"^(.*\d)\s*[^\d\s+\-/.].*$", 1), F.lit("")), e["g"])
         short = F.nullif(F.regexp_extract(rest, r"^(.*\d)\s*-\s*\d{1,5}$", 1), F.lit(""))
-        whole = placed(e["g"])
-        clean = whole.isNotNull() & (e["shown"] == e["g"])
-        return F.struct(F.coalesce(whole, placed(rest), placed(short)).alias("number"), F.when(~clean, e["shown"]).alias("text"))
+        # The cell as it is, without a word behind it, without an extension: the first that places it.
+        def told(n: Column) -> Column:
+            clean = F.get(n, 0).isNotNull() & (e["shown"] == e["g"])
+            return F.struct(F.get(F.array_compact(n), 0).alias("number"), F.when(~clean, e["shown"]).alias("text"))
+
+        return bound(F.transform(F.array(e["g"], rest, short), placed), told)
+
+    def both(found: Column) -> Column:
+        numbers = F.array_distinct(F.array_compact(F.transform(found, lambda x: x["number"])))
+        return F.struct(numbers.alias("numbers"), F.array_compact(F.transform(found, lambda x: x["text"])).alias("texts"))
 
-    found = F.transform(F.aggregate(parts, start, step), read)
-    numbers = F.array_distinct(F.array_compact(F.transform(found, lambda x: x["number"])))
-    return F.struct(numbers.alias("numbers"), F.array_compact(F.transform(found, lambda x: x["text"])).alias("texts"))
+    return bound(F.transform(F.aggregate(parts, start, step), read), both)
 
 
 def kept_names(text: Column, own: Sequence[str]) -> Column:

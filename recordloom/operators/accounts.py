@@ -70,7 +70,13 @@ def people(rows: DataFrame, account: str, row: str, name: str, phone: str, mobil
     """
     empty = F.array().cast("array<string>")
     cell = lambda c: F.coalesce(F.col(c), F.lit(""))
-    from_mobile, from_phone = account_numbers(cell(mobile)), account_numbers(cell(phone))
+    # Each distinct cell is read once; the fence keeps the optimizer from putting the reading back into every use.
+    cells = rows.select(F.explode(F.array(cell(mobile), cell(phone))).alias("cell__")).where("cell__ <> ''").distinct()
+    cells = cells.withColumn("read__", F.when(F.monotonically_increasing_id() >= 0, account_numbers(F.col("cell__"))))
+    nothing = F.struct(empty.alias("numbers"), empty.alias("texts"))
+    for c, name_ in ((mobile, "mobile__"), (phone, "phone__")):
+        rows = rows.join(cells.select(F.col("cell__").alias(f"{name_}cell"), F.col("read__").alias(name_)), F.col(c) == F.col(f"{name_}cell"), "left")
+    from_mobile, from_phone = F.coalesce("mobile__", nothing), F.coalesce("phone__", nothing)
     left = F.trim(F.regexp_replace(cell(email), "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+", " "))
     mails = F.concat(addresses(cell(mobile)), addresses(cell(phone)), addresses(cell(email)))
     named = F.nullif(F.trim(cell(name)), F.lit(""))
