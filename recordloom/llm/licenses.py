@@ -166,29 +166,48 @@ def most_in_run(at: list[int], said: list[bytes], bound: int) -> int:
 
 
 def runs(index: Index, found: Words, breaks: np.ndarray, hits: np.ndarray) -> Iterator[tuple[int, str, float, int]]:
-    """Text, label, share and first word of the paragraph for each template in a run of words; ``hits``: prefix words."""
+    """Text, label, share and first word of the paragraph for each template in a run of words; ``hits``: prefix words.
+
+    Prefix words that stand within a run's length of each other are looked at
+    together.  Of the template's words, rarest first, those in front of the first of
+    them and the other prefix words that are not among them are not here, so what
+    can still be found is known from their places; of the block, no more words than
+    stand around them.  Where that is too little, no word is compared.
+    """
     line, of = np.searchsorted(breaks, found.starts), found.text_of(np.arange(len(found.starts)))
     first = np.append(np.flatnonzero(np.concatenate([[True], (np.diff(line) > 1) | (np.diff(of) > 0)])), len(line))
-    places: dict[tuple[int, int], list[int]] = {}
+    places: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for k in hits.tolist():
-        for t, _ in index.leads.get(found.word(k), ()):
+        for t, place in index.leads.get(found.word(k), ()):
             p = int(np.searchsorted(first, k, "right")) - 1
-            places.setdefault((p, t), []).append(k)
+            places.setdefault((p, t), []).append((k, place))
     for (p, t), at in places.items():
         label, order = index.templates[t]
-        bound, tokens = index.bounds[t], set(order)
-        if first[p + 1] - first[p] < index.needed[t]:
+        bound, tokens, needed = index.bounds[t], set(order), index.needed[t]
+        start, end = int(first[p]), int(first[p + 1])
+        if end - start < needed:
             continue
         # Every run that matches holds a prefix word: look at the words around them, each once.
         near: dict[int, bytes] = {}
-        done = int(first[p])
-        for k in at:
-            for j in range(max(done, k - bound + 1), min(int(first[p + 1]), k + bound)):
-                if (word := found.word(j)) in tokens:
-                    near[j] = word
-            done = max(done, min(int(first[p + 1]), k + bound))
+        done, lo = start, 0
+        while lo < len(at):
+            hi = lo + 1
+            while hi < len(at) and at[hi][0] - at[hi - 1][0] < bound:
+                hi += 1
+            group = at[lo:hi]
+            lo = hi
+            seen = len({place for _, place in group})
+            room = min(end, group[-1][0] + bound) - max(start, group[0][0] - bound + 1)
+            behind = len(order) - 1 - (len(order) - needed)  # words behind the prefix
+            if seen + min(behind, room - len(group)) < needed:
+                continue
+            for k, _ in group:
+                for j in range(max(done, k - bound + 1), min(end, k + bound)):
+                    if (word := found.word(j)) in tokens:
+                        near[j] = word
+                done = max(done, min(end, k + bound))
         common = most_in_run(list(near), list(near.values()), bound)
-        if common >= index.needed[t]:
+        if common >= needed:
             yield int(of[first[p]]), label, common / len(order), int(first[p])
 
 
