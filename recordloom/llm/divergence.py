@@ -21,8 +21,8 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def terms_of(text: Column) -> Column:
     """The terms of a text in order; only A to Z are lower-cased (``lower`` does just that where all characters are ASCII)."""
-    lowered = lambda w: F.when(F.octet_length(w) == F.length(w), F.lower(w)).otherwise(F.translate(w, _UPPER, _UPPER.lower()))
-    return F.transform(F.filter(F.split(text, SEPARATORS), lambda w: w != ""), lowered)
+    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+    return F.array_remove(F.split(lowered, SEPARATORS), "")
 
 
 def share(count: Column, total: Column, n_terms: Column) -> Column:
@@ -41,9 +41,9 @@ def term_vectors(docs: DataFrame, least: int = 30) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     name = lambda c: F.coalesce(c, F.lit("")).alias(c)
     found = docs.select(name("lang"), name("source"), terms_of(text).alias("terms"))
-    counted = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("n_docs")))
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("n_docs")))
-    found = found.select("lang", "source", F.inline(F.concat(counted, once)))
+    weighed = lambda terms, n, n_docs: F.struct(F.lit(n).alias("n"), F.lit(n_docs).alias("n_docs"), terms.alias("terms"))
+    both = F.array(weighed(F.col("terms"), 1, 0), weighed(F.array_distinct("terms"), 0, 1))
+    found = found.select("lang", "source", F.inline(both)).select("lang", "source", "n", "n_docs", F.explode("terms").alias("term"))
     by_source = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
     entries = F.map_from_entries(F.collect_list(F.struct("source", "n")))
     return by_source.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs"), entries.alias("counts")).where(F.col("n_docs") >= least).drop("n_docs")
