@@ -21,7 +21,7 @@ def test_unclosed_markup_takes_linear_time(piece):
 
 
 def test_raw_elements_without_an_end():
-    assert text("<article><p>One.<textarea>two</p><textarea>three") .startswith("One.")
+    assert text("<article><p>One.<textarea>two</p><textarea>three").startswith("One.")
     assert text("<article><p>One.</p><textarea>x</textarea ><p>Two.</p>") == "One.\nTwo."
     assert text("<article><p>a<script>no</p>") == "a"
 
@@ -54,7 +54,7 @@ LABELLED = [
     (True, "<h1>The house of the man</h1>"), (True, f"<p>{PROSE}</p>"), (True, "<p>Short one.</p>"), (False, "<nav><a href=/>Home</a></nav>"), (True, f"<blockquote>{PROSE}</blockquote>"), (False, f'<div class="advert"><p>{PROSE}</p></div>'),
     (True, "<pre>x = 1</pre>"), (False, f"<aside>{PROSE}</aside>"), (True, "<ul><li>One of them</li></ul>"), (False, f"<form><p>{PROSE}</p></form>"), (False, "<p><a href=1>More on this</a> <a href=2>And on that</a></p>"), (True, "<h2>What they have</h2>"),
     (True, f"<table><tr><td>{PROSE}</td></tr></table>"), (False, f'<div class="cookie-notice">{PROSE}</div>'), (False, f'<div id="comments">{PROSE}</div>'), (True, f"<div>{PROSE}</div>"), (False, f"<p hidden>{PROSE}</p>"), (False, f'<p style="display:none">{PROSE}</p>'),
-    (True, f"<p>{PROSE} <a href=x>See it</a></p>"), (False, f'<div role="navigation">{PROSE}</div>'), (False, f'<div class="relatedPosts2 related">{PROSE}</div>' if False else f'<div class="related">{PROSE}</div>'), (True, "<figure><figcaption>The man in the house</figcaption></figure>"),
+    (True, f"<p>{PROSE} <a href=x>See it</a></p>"), (False, f'<div role="navigation">{PROSE}</div>'), (False, f'<div class="related">{PROSE}</div>'), (True, "<figure><figcaption>The man in the house</figcaption></figure>"),
     (False, f'<section class="newsletter signup">{PROSE}</section>'), (True, f'<section class="chapter">{PROSE}</section>'), (False, f"<footer>{PROSE}</footer>"), (True, f'<div class="notice-of-the-king">{PROSE}</div>'), (False, "<select><option>One of it</option></select>"),
     (True, f"<p>{PROSE}<br>{PROSE}</p>"), (False, f'<div class="breadcrumb">{PROSE}</div>'), (False, f'<div class="guestbook">{PROSE}</div>'), (True, f"<details><summary>More of it</summary><p>{PROSE}</p></details>"), (False, f"<dialog>{PROSE}</dialog>"),
 ]
