@@ -71,8 +71,13 @@ def find(name: str, wanted: DataFrame, message_id: str, source: str) -> DataFram
     ids = look_up(name, "id", wanted.select(F.col(message_id).alias("id__")).distinct(), "id__").select("id__", F.lit(True).alias("known__")).distinct()
     mails = look_up(name, "source", wanted.select(F.col(source).alias("source__")).distinct(), "source__")
     sources = mails.groupBy("source__").agg(F.min("mail.message_id").alias("one__"), (F.min("mail.message_id") == F.max("mail.message_id")).alias("sole__"))
-    both = wanted.join(ids, wanted[message_id] == ids["id__"], "left")
-    both = both.join(sources, F.when(F.col("known__").isNull(), both[source]) == F.col("source__"), "left")
-    how = F.when(F.col("known__"), "id").when(F.col("sole__"), "source").when(F.col("one__").isNotNull(), "ambiguous").otherwise("none")
-    found = F.when(F.col("known__"), both[message_id]).when(F.col("sole__"), F.col("one__"))
-    return both.select(*[both[c] for c in wanted.columns], found.alias("found"), how.alias("how"))
+    # Rows without a key, or that the id has settled, stay out of the joins: as nulls they would all meet in one task.
+    named = wanted.where(F.col(message_id).isNotNull()).join(ids, F.col(message_id) == F.col("id__"), "left")
+    unnamed = wanted.where(F.col(message_id).isNull())
+    known = named.where("known__").select(*wanted.columns, F.col(message_id).alias("found"), F.lit("id").alias("how"))
+    rest = named.where("known__ is null").select(*wanted.columns).unionByName(unnamed)
+    filed = rest.where(F.col(source).isNotNull()).join(sources, F.col(source) == F.col("source__"), "left")
+    how = F.when(F.col("sole__"), "source").when(F.col("one__").isNotNull(), "ambiguous").otherwise("none")
+    filed = filed.select(*wanted.columns, F.when(F.col("sole__"), F.col("one__")).alias("found"), how.alias("how"))
+    nowhere = rest.where(F.col(source).isNull()).select(*wanted.columns, F.lit(None).cast("string").alias("found"), F.lit("none").alias("how"))
+    return known.unionByName(filed).unionByName(nowhere)
