@@ -154,11 +154,10 @@ def raw_messages(spark: SparkSession, path: str) -> DataFrame:
     return whole.where("not last").select("file", "raw").unionByName(joined)
 
 
-def messages(spark: SparkSession, path: str) -> DataFrame:
-    """Messages of every mailbox file below ``path``: files that begin with a separator and lie in no skipped folder.
+def readings(spark: SparkSession, path: str) -> DataFrame:
+    """Every message of every mailbox file below ``path``: files that begin with a separator and lie in no skipped folder.
 
-    A message that lies in several folders comes once, from the deepest, with all
-    its ``files``.  Texts are decoded by their own charset, else as UTF-8, gb18030 or Latin-1.
+    Texts are decoded by their own charset, else as UTF-8, gb18030 or Latin-1.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +170,12 @@ def messages(spark: SparkSession, path: str) -> DataFrame:
             names = ["file", "message_id", "date", "sender", "recipients", "copies", "subject", "in_reply_to", "refs", "body", "attachments", "bulk", "error"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    read = raw_messages(spark, path).mapInArrow(run, SCHEMA)
+    return raw_messages(spark, path).mapInArrow(run, SCHEMA)
+
+
+def messages(spark: SparkSession, path: str) -> DataFrame:
+    """The same, but a message that lies in several folders comes once, from the deepest, with all its ``files``."""
+    read = readings(spark, path)
     depth = F.size(F.split("file", "/"))
     rest = [c for c in read.columns if c not in ("message_id", "file")]
     best = read.groupBy("message_id").agg(F.max_by(F.struct("file", *rest), F.struct(depth, "file")).alias("m"), F.array_sort(F.collect_set("file")).alias("files"))
