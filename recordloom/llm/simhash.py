@@ -12,8 +12,9 @@ set of links rather than all pairs, and classes are joined across buckets.
 
 The pipeline's stage, :func:`one_of_near_copies`, asks for more than fingerprints of 64
 bits can tell: near copies by the overlap of their shingles, whose fingerprints
-lie some ten bits apart.  It takes candidates from least-value keys of
-the same shingle hashes and compares their sets exactly.
+may lie some ten bits apart.  The same index links the fingerprints of its shingles
+first, and what it links is compared exactly; only sets that this leaves in different
+classes are then paired by least-value keys of the same shingle hashes.
 """
 
 from __future__ import annotations
@@ -266,16 +267,16 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def sketches(rows: DataFrame, words: int) -> DataFrame:
-    """``doc_id, node, size, keys`` for each of ``rows`` (``doc_id, text``); ``node`` stands for the set of shingles."""
+    """``doc_id, node, size, fp, keys`` for each of ``rows`` (``doc_id, text``); ``node`` stands for the set of shingles, ``fp`` is its fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             got = [shingle_set(texts[k].as_py() or b"", words) for k in range(len(texts))]
-            columns = [pa.array([n for _, n in got], pa.int64()), pa.array([len(h) for h, _ in got], pa.int64()), pa.array([band_keys(h) if len(h) else [] for h, _ in got], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "node", "size", "keys"])
+            columns = [pa.array([n for _, n in got], pa.int64()), pa.array([len(h) for h, _ in got], pa.int64()), pa.array([fingerprint(h.tolist()) for h, _ in got], pa.int64()), pa.array([band_keys(h) if len(h) else [] for h, _ in got], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "node", "size", "fp", "keys"])
 
-    return rows.mapInArrow(run, "doc_id long, node long, size long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, node long, size long, fp long, keys array<long>")
 
 
 def alike(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int, share: float) -> DataFrame:
@@ -384,31 +385,38 @@ def links_within(open_: DataFrame, nodes: DataFrame, rows: DataFrame, words: int
     return found
 
 
-def near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, text: str = "text", key: str = "doc_id", radius: int = 3) -> DataFrame:
     """``doc_id, component_id`` for every row of ``docs`` with an id.
 
     Documents whose sets of ``words``-word shingles overlap by ``share`` or more
     (intersection by union) are linked; ``component_id`` is the smallest id
     reachable.  Texts without words are copies of each other.
 
-    Candidates share one of ``BANDS`` keys of ``ROWS`` least values each: a pair at
-    0.8 has none with a chance of 3 in a million.  First the sets of a key
+    First the Gray index links fingerprints within ``radius`` bits; linked sets are compared.
+    What is still in different classes meets on one of ``BANDS`` keys of ``ROWS`` least values each: a pair at
+    0.8 has none with a chance of 3 in a million.  The sets of a key
     are compared with its least one; then those of a key that are still in different classes
     are compared inside tasks, which give the links that join them and no other pairs.
     """
     rows = docs.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     found = stored(sketches(rows, words), "sketches")
-    nodes = stored(found.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys")), "sets")
-    dealt = nodes.select("node", "size", F.explode("keys").alias("band"))
-    centres = dealt.groupBy("band").agg(F.min(F.struct("node", "size")).alias("c"), F.count("*").alias("n")).where("n > 1").select("band", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"))
+    nodes = stored(found.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "sets")
+    fps = stored(nodes.groupBy("fp").agg(F.min("node").alias("node")), "distinct-fingerprints")
+    same = nodes.join(fps.withColumnRenamed("node", "a"), "fp").select("a", F.col("node").alias("b")).where("a <> b")
+    gray = alike(stored(links(fps, radius).unionByName(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates"), nodes, rows, words, share)
+    dealt = stored(nodes.join(components(gray), "node", "left").select("node", "size", "keys", F.coalesce("root", "node").alias("class")), "dealt").select("node", "size", "class", F.explode("keys").alias("band"))
+    centres = dealt.groupBy("band").agg(F.min(F.struct("node", "size", "class")).alias("c"), F.count("*").alias("n")).where("n > 1")
+    centres = centres.select("band", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.class").alias("centre_class"))
     near = lambda x, y: F.least(x, y) >= F.lit(share) * F.greatest(x, y) - 1e-9
-    first = stored(dealt.join(centres, "band").where((F.col("node") != F.col("centre")) & near("size", "centre_size")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
-    links = alike(first, nodes, rows, words, share)
-    roots = components(links)
+    first = dealt.join(centres, "band").where((F.col("class") != F.col("centre_class")) & near("size", "centre_size"))
+    first = stored(first.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
+    found_links = gray.unionByName(alike(first, nodes, rows, words, share))
+    roots = components(found_links)
+    dealt = dealt.drop("class")
     classed = stored(dealt.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("class")), "classed")
     mixed = classed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band")
     open_ = stored(classed.join(mixed, "band", "left_semi"), "open")
-    roots = components(links.unionByName(links_within(open_, nodes, rows, words, share)))
+    roots = components(found_links.unionByName(links_within(open_, nodes, rows, words, share)))
     classes = found.select("doc_id", "node").join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return classes.join(least, "root").select("doc_id", "component_id")

@@ -169,6 +169,16 @@ def test_simhash_agrees_with_brute_force(spark):
     assert simhash.near_duplicates(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_near_copies_come_from_the_gray_index(spark, monkeypatch):
+    """What fingerprints tell apart is settled before any other key is asked."""
+    asked, alike = [], simhash.alike
+    monkeypatch.setattr(simhash, "alike", lambda pairs, *rest: asked.append(pairs.count()) or alike(pairs, *rest))
+    base = " ".join(f"word{k}" for k in range(600))
+    left = simhash.one_of_near_copies(docs(spark, [base, f"{base} more", f"less {base}", "something else altogether"]))
+    assert sorted(r.doc_id for r in left.collect()) == [0, 3]
+    assert len(asked) == 2 and asked[0] >= 2 and asked[1] == 0
+
+
 @pytest.mark.parametrize("block", [512, 3])
 def test_one_of_near_copies(spark, block, monkeypatch):
     """Texts of 64 to 250 words with one to six words changed, against brute force over all pairs."""
