@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import plain_subject
 from ..operators.lookups import roots
+from .shared import few_rows
 
 _PERSON = "struct<name: string, email: string>"
 SCHEMA = (
@@ -104,7 +105,7 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row(last: bool) -> list[tuple]:
         return [(held[0], held[1], n, held[2], last, b"\nFrom ".join(pieces))] if held else []
 
-    for batch in batches:
+    for batch in few_rows(batches):
         out: list[tuple] = []
         for k in range(batch.num_rows):
             file, block, raw = batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), batch.column(2)[k].as_py() or b""
@@ -161,7 +162,7 @@ def readings(spark: SparkSession, path: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             rows = [message_row(f, r.partition(b"\n")[2].replace(b"\n>From ", b"\nFrom ")) for f, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             columns = list(zip(*rows, strict=True)) or [[]] * 13
             person = pa.struct([("name", pa.string()), ("email", pa.string())])

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mbox import SKIPPED, raw_messages
+from .shared import few_rows
 
 _PERSON = "struct<name: string, email: string>"
 SCHEMA = (
@@ -199,7 +200,7 @@ def readings(spark: SparkSession, path: str) -> DataFrame:
         attached = pa.struct([("filename", pa.string()), ("content_type", pa.string()), ("size", pa.int64()), ("sha256", pa.string())])
         kinds = [pa.string(), pa.string(), pa.timestamp("us", "UTC"), person, pa.list_(person), pa.list_(person), pa.string(), pa.string(), pa.list_(attached), pa.string()]
         names = ["file", "message_id", "date", "sender", "recipients", "copies", "subject", "body", "attachments", "error"]
-        for batch in batches:
+        for batch in few_rows(batches):
             rows = [message_row(f, r.partition(b"\n")[2].replace(b"\n>From ", b"\nFrom ")) for f, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)

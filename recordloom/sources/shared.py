@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,3 +26,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def few_rows(batches: Iterable[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that a task's Python never holds what it makes of ten thousand messages at once."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)

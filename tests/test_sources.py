@@ -2,9 +2,11 @@
 
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from recordloom.sources import mbox, workbook
+from recordloom.sources.shared import few_rows
 
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 
@@ -90,3 +92,12 @@ def test_mailbox_keeps_bytes_and_lines_that_begin_with_from(spark, tmp_path):
             assert got == {f"{k}@x": body for k, body in enumerate([*bodies, "报价单已确认", "没有字符集"])}, size
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_messages_leave_a_task_in_small_batches():
+    """A task makes rows of a few messages at a time, however large Spark's batches are."""
+    raw = b" Mon May 18 10:00:00 2026\nMessage-ID: <a@x>\n\nText\n"
+    batch = pa.RecordBatch.from_arrays([pa.array(["f"] * 1000), pa.array([0] * 1000, pa.int64()), pa.array([raw.replace(b" Mon", b"- Mon")] * 1000, pa.binary())], ["file", "block", "raw"])
+    out = list(mbox._fragments(iter([batch])))
+    assert sum(b.num_rows for b in out) == 1000 and max(b.num_rows for b in out) <= 64
+    assert [b.num_rows for b in few_rows([batch.slice(0, 0), batch.slice(0, 130)])] == [64, 64, 2]
