@@ -37,10 +37,27 @@ def document_issues(lines: DataFrame, key: str, amount: str, party: str, share:
 def total_or_stated(lines: DataFrame, key: Sequence[str], amount: Column, stated: Column) -> DataFrame:
     """The sum of the lines where each has an amount, else the one total that the lines repeat, else null."""
     m, s = amount.cast("decimal(18,2)"), stated.cast("decimal(18,2)")
-    total = F.when(F.count(m) == F.count("*"), F.sum(m)).when(F.count_distinct(s) == 1, F.max(s))
+    # Least and largest are equal where there is one total: unlike a distinct count, they are two values a key in every step.
+    total = F.when(F.count(m) == F.count("*"), F.sum(m)).when(F.min(s) == F.max(s), F.max(s))
     return lines.groupBy(*key).agg(total.cast("decimal(18,2)").alias("total"))
 
 
+def total_of_lines_or_stated(documents: DataFrame, lines: DataFrame, key: str, amount: Column, stated: Column) -> DataFrame:
+    """:func:`total_or_stated` of documents joined with their lines on ``key``, which is never built: both are summed by their key in one aggregate.
+
+    Several documents of one key count each line as often, as the join would; keys of one side only have no row.
+    """
+    m, s = amount.cast("decimal(18,2)"), stated.cast("decimal(18,2)")
+    row = lambda df, line, m, s: df.where(F.col(key).isNotNull()).select(key, F.lit(line).alias("line__"), m.alias("m__"), s.alias("s__"))
+    no = F.lit(None).cast("decimal(18,2)")
+    of = row(lines, 1, m, no).unionByName(row(documents, 0, no, s)).groupBy(key).agg(
+        F.sum("line__").alias("lines__"), F.count("*").alias("rows__"), F.count("m__").alias("amounts__"), F.sum("m__").alias("sum__"), F.min("s__").alias("least__"), F.max("s__").alias("most__"),
+    )
+    times = F.col("rows__") - F.col("lines__")
+    total = F.when(F.col("amounts__") == F.col("lines__"), F.col("sum__") * times).when(F.col("least__") == F.col("most__"), F.col("most__"))
+    return of.where((F.col("lines__") > 0) & (times > 0)).select(key, total.cast("decimal(18,2)").alias("total"))
+
+
 def receivables(invoices: DataFrame, party: str, number: str, due: str, amount: str, as_of: Column) -> DataFrame:
     """Open and overdue sums and counts of each party; no due date is open but never overdue; zero amounts are no invoices."""
     m = F.col(amount).cast("decimal(18,2)")

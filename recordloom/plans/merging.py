@@ -56,9 +56,9 @@ def order_issues(t):
   when count(distinct o_totalprice) = 1 then max(cast(o_totalprice as decimal(18,2))) end as double) total from j group by o_orderkey""")
 def local_total(t):
     """Sum of the lines where all have an amount (every seventh has none), else the document's own total."""
-    rows = t("orders").join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    lines = t("lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     amount = F.when(F.col("l_linenumber") % 7 != 0, F.col("l_extendedprice"))
-    return rollups.total_or_stated(rows, ["o_orderkey"], amount, F.col("o_totalprice")).select("o_orderkey", F.col("total").cast("double").alias("total"))
+    return rollups.total_of_lines_or_stated(t("orders"), lines, "o_orderkey", amount, F.col("o_totalprice")).select("o_orderkey", F.col("total").cast("double").alias("total"))
 
 
 @query("""select l_partkey, l_quantity, l_extendedprice, max(n) copies from (select l_linestatus, l_partkey, l_quantity, l_extendedprice, count(*) n
