@@ -70,27 +70,27 @@ def people(rows: DataFrame, account: str, row: str, name: str, phone: str, mobil
     """
     empty = F.array().cast("array<string>")
     cell = lambda c: F.coalesce(F.col(c), F.lit(""))
-    # Each distinct cell is read once; the fence keeps the optimizer from putting the reading back into every use.
-    cells = rows.select(F.explode(F.array(cell(mobile), cell(phone))).alias("cell__")).where("cell__ <> ''").distinct()
-    cells = cells.withColumn("read__", F.when(F.monotonically_increasing_id() >= 0, account_numbers(F.col("cell__"))))
-    nothing = F.struct(empty.alias("numbers"), empty.alias("texts"))
-    for c, name_ in ((mobile, "mobile__"), (phone, "phone__")):
-        rows = rows.join(cells.select(F.col("cell__").alias(f"{name_}cell"), F.col("read__").alias(name_)), F.col(c) == F.col(f"{name_}cell"), "left")
-    from_mobile, from_phone = F.coalesce("mobile__", nothing), F.coalesce("phone__", nothing)
+    # A row that repeats an earlier one adds nothing, so each distinct row is read once, at its first place (the first is unknown where one is).
+    written = list(dict.fromkeys([account, name, phone, mobile, email]))
+    rows = rows.groupBy(*written).agg(F.when(F.count(row) == F.count("*"), F.min(row)).alias("row__"))
+    # The fence keeps the optimizer from putting the reading back into every use.
+    once = lambda c: F.when(F.monotonically_increasing_id() >= 0, account_numbers(cell(c)))
+    rows = rows.withColumns({"mobile__": once(mobile), "phone__": once(phone)})
+    from_mobile, from_phone = F.col("mobile__"), F.col("phone__")
     left = F.trim(F.regexp_replace(cell(email), "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+", " "))
     mails = F.concat(addresses(cell(mobile)), addresses(cell(phone)), addresses(cell(email)))
     named = F.nullif(F.trim(cell(name)), F.lit(""))
     labelled = F.array(*[F.when(cell(c) != "", F.concat(F.lit(f"{label} "), cell(c))) for c, label in ((phone, "phone"), (mobile, "mobile"), (email, "e-mail"))])
     texts = F.concat(from_mobile["texts"], from_phone["texts"], F.when(left.rlike(r"[^ /,;、\n\t]"), F.array(F.regexp_replace(left, r"\s+", " "))).otherwise(empty))
     parts = rows.select(
-        account, row, named.alias("name"), F.lower(F.regexp_replace(named, r"\s", "")).alias("person"),
+        account, F.col("row__").alias("row"), named.alias("name"), F.lower(F.regexp_replace(named, r"\s", "")).alias("person"),
         F.array_compact(F.array(F.nullif(cell(phone), F.lit("")), F.nullif(cell(mobile), F.lit("")))).alias("written"),
         F.when(named.isNull(), empty).otherwise(F.concat(from_mobile["numbers"], from_phone["numbers"])).alias("phones"),
         F.when(named.isNull(), empty).otherwise(mails).alias("emails"),
         F.when(named.isNull(), F.array_compact(labelled)).otherwise(texts).alias("other"),
     )
     # An account's rows are few (its sheet lines); each list is what one person's row shows.
-    listed = parts.groupBy(account, "person").agg(F.array_sort(F.collect_list(F.struct(row, "name", "written", "phones", "emails", "other"))).alias("r"))
+    listed = parts.groupBy(account, "person").agg(F.sort_array(F.collect_list(F.struct("row", "name", "written", "phones", "emails", "other"))).alias("r"))
     every = lambda field: F.array_distinct(F.flatten(F.transform("r", lambda x: x[field])))
     shown = F.when(F.col("person").isNotNull(), F.array_join(every("written"), " / "))
     return listed.select(account, "person", F.get("r", 0)["name"].alias("name"), shown.alias("phone"), every("phones").alias("phones"), every("emails").alias("emails"), every("other").alias("other"))

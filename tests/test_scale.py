@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from recordloom.operators import rollups
+from recordloom.operators import accounts, rollups
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,3 +22,12 @@ def test_totals_meet_their_documents_without_a_join(spark):
     want = {1: Decimal("6.50"), 2: None, 3: Decimal("9.00"), 5: None}
     assert dict(got.collect()) == dict(joined.collect()) == want
     assert "Join" not in plan(entry.queries()["local_total"](spark, SF))
+
+
+def test_people_read_distinct_rows_and_join_nothing(spark):
+    rows = [(1, 3, "Li Wei", "010-12345678", None, "/"), (1, 1, "li wei", None, "13812345678", "a@b.com"), (1, 2, "Li Wei", "010-12345678", None, "/"), (1, None, None, "12", None, None), (1, 4, None, "12", None, None)]
+    df = spark.createDataFrame(rows, "account int, row int, name string, phone string, mobile string, email string")
+    out = accounts.people(df, "account", "row", "name", "phone", "mobile", "email")
+    got = {r.person: (r.name, r.phones, r.emails, r.other) for r in out.collect()}
+    assert got == {"liwei": ("li wei", ["+8613812345678", "+861012345678"], ["a@b.com"], []), None: (None, [], [], ["phone 12"])}
+    assert "Join" not in plan(out)
