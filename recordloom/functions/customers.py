@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .phones import phone_e164, phone_numbers, placeholder
+from .phones import e164, phone_numbers, placeholder
 
 # Fixed values, which results depend on.
 LEGAL = r"股份有限公司|有限公司|Co\.?,?\s*Ltd\.?|Ltd\.?|GmbH"
@@ -177,17 +177,19 @@ def account_numbers(cell: Column) -> Column:
     def placed(token: Column) -> Column:
         digits = F.regexp_replace(token, r"[\s\-().]", "")
         service = F.when(digits.rlike(r"^[48]00\d{7}$"), F.concat(F.lit("+86"), digits))
-        return bound(phone_e164(token), lambda n: F.when(n.rlike(r"^\+\d{8,15}$"), n).otherwise(service))
+        return bound(e164(token, lambda text, then: bound(text, then)), lambda n: F.when(n.rlike(r"^\+\d{8,15}$"), n).otherwise(service))
 
     def read(e: Column) -> Column:
-        rest = F.coalesce(F.nullif(F.regexp_extract(e["g"], r"^(.*\d)\s*[^\d\s+\-/.].*$", 1), F.lit("")), e["g"])
-        short = F.nullif(F.regexp_extract(rest, r"^(.*\d)\s*-\s*\d{1,5}$", 1), F.lit(""))
-        # The cell as it is, without a word behind it, without an extension: the first that places it.
+        filled = lambda c: F.get(F.filter(F.array(c), lambda x: x != ""), 0)
+        rest = F.coalesce(filled(F.regexp_extract(e["g"], r"^(.*\d)\s*[^\d\s+\-/.].*$", 1)), e["g"])
+        # The cell as it is, without a word behind it, without an extension: the first that places it; the later ones are only looked at where the earlier do not.
+        behind = bound(rest, lambda r: F.coalesce(placed(r), placed(filled(F.regexp_extract(r, r"^(.*\d)\s*-\s*\d{1,5}$", 1)))))
+
         def told(n: Column) -> Column:
-            clean = F.get(n, 0).isNotNull() & (e["shown"] == e["g"])
-            return F.struct(F.get(F.array_compact(n), 0).alias("number"), F.when(~clean, e["shown"]).alias("text"))
+            clean = n.isNotNull() & (e["shown"] == e["g"])
+            return F.struct(F.coalesce(n, behind).alias("number"), F.when(~clean, e["shown"]).alias("text"))
 
-        return bound(F.transform(F.array(e["g"], rest, short), placed), told)
+        return bound(placed(e["g"]), told)
 
     def both(found: Column) -> Column:
         numbers = F.array_distinct(F.array_compact(F.transform(found, lambda x: x["number"])))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,18 +17,28 @@ def placeholder(text: Column) -> Column:
 
 def phone_e164(raw: Column) -> Column:
     """``+`` and digits where the rules place the number, else the text as written; empty for a placeholder."""
-    text = F.regexp_replace(F.trim(raw), "^(\\d+)\\.0$", "$1")
-    s = F.regexp_replace(text, "[\\s\\-().（）/]", "")
-    s = F.regexp_replace(s, "(?i)^(?:tel|t|f|m|mob|fax)[:：]?(?=[+\\d])", "")
-    s = F.regexp_replace(s, "^00", "+")
-    return (
-        F.when(text.isNull() | placeholder(text), "")
-        .when(s.startswith("+"), F.concat(F.lit("+"), F.regexp_replace(s, "\\D", "")))
-        .when(s.rlike("^86\\d{11}$"), F.concat(F.lit("+"), s))
-        .when(s.rlike(f"^{_MOBILE}$"), F.concat(F.lit("+86"), s))
-        .when(s.rlike("^0\\d{9,11}$"), F.concat(F.lit("+86"), F.substring(s, 2, 20)))
-        .otherwise(text)
-    )
+    return e164(raw, lambda value, then: then(value))
+
+
+def e164(raw: Column, bound: Callable[[Column, Callable[[Column], Column]], Column]) -> Column:
+    """:func:`phone_e164`; ``bound(value, then)`` says how ``then`` gets a value that it uses several times (inside a lambda nothing else keeps it from being worked out again)."""
+
+    def placed(text: Column, s: Column) -> Column:
+        return (
+            F.when(text.isNull() | placeholder(text), "")
+            .when(s.startswith("+"), F.concat(F.lit("+"), F.regexp_replace(s, "\\D", "")))
+            .when(s.rlike("^86\\d{11}$"), F.concat(F.lit("+"), s))
+            .when(s.rlike(f"^{_MOBILE}$"), F.concat(F.lit("+86"), s))
+            .when(s.rlike("^0\\d{9,11}$"), F.concat(F.lit("+86"), F.substring(s, 2, 20)))
+            .otherwise(text)
+        )
+
+    def stripped(text: Column) -> Column:
+        s = F.regexp_replace(text, "[\\s\\-().（）/]", "")
+        s = F.regexp_replace(s, "(?i)^(?:tel|t|f|m|mob|fax)[:：]?(?=[+\\d])", "")
+        return F.regexp_replace(s, "^00", "+")
+
+    return bound(F.regexp_replace(F.trim(raw), "^(\\d+)\\.0$", "$1"), lambda text: bound(stripped(text), lambda s: placed(text, s)))
 
 
 def mail_e164(raw: Column) -> Column:

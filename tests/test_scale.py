@@ -31,3 +31,7 @@ def test_people_read_distinct_rows_and_join_nothing(spark):
     got = {r.person: (r.name, r.phones, r.emails, r.other) for r in out.collect()}
     assert got == {"liwei": ("li wei", ["+8613812345678", "+861012345678"], ["a@b.com"], []), None: (None, [], [], ["phone 12"])}
     assert "Join" not in plan(out)
+
+
+def test_phone_cells_of_a_small_file_are_many_tasks(spark):
+    assert entry.queries()["account_phones"](spark, SF).rdd.getNumPartitions() > 1
