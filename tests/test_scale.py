@@ -35,3 +35,7 @@ def test_people_read_distinct_rows_and_join_nothing(spark):
 
 def test_phone_cells_of_a_small_file_are_many_tasks(spark):
     assert entry.queries()["account_phones"](spark, SF).rdd.getNumPartitions() > 1
+
+
+def test_letters_are_not_sorted_by_a_lambda(spark):
+    assert "lambdafunction" not in plan(entry.queries()["cell_conservation"](spark, SF))
