@@ -11,7 +11,7 @@ from ..sources.shared import new_path
 from .registry import query
 
 
-def order_archive(t) -> str:
+def order_archive(t, indexes=archive.INDEXES) -> str:
     """Orders as mails from their clerks to their customers, stored; the name of the archive.
 
     Each customer has one of a hundred clerks. Every fifth order has a legacy address for its sender; clerks whose number ends in seven write from two addresses.
@@ -28,7 +28,7 @@ def order_archive(t) -> str:
         F.expr("cast(array() as array<struct<name: string, email: string>>)").alias("copies"),
     )
     archived = f"archive_{uuid.uuid4().hex}"
-    archive.store(mails, archived, new_path(mails.sparkSession, "indexes"), buckets=16)
+    archive.store(mails, archived, new_path(mails.sparkSession, "indexes"), buckets=16, indexes=indexes)
     return archived
 
 
@@ -45,7 +45,7 @@ def cited_mails(t):
     cited = F.when(k.isin(0, 3), F.concat(F.lit("o"), key)).when(k == 1, F.concat(F.lit("x"), key))
     source = F.when(k == 1, F.concat(F.lit("box/o"), key)).when(k < 3, F.concat(F.lit("box/"), F.col("l_suppkey").cast("string")))
     wanted = t("lineitem").select("l_orderkey", "l_linenumber", cited.alias("id"), source.alias("file"))
-    return archive.find(order_archive(t), wanted, "id", "file").drop("id", "file")
+    return archive.find(order_archive(t, ("id", "source")), wanted, "id", "file").drop("id", "file")
 
 
 @query("""with o as (select *, translate('clerk' || lpad((o_custkey % 100)::varchar, 3, '0'), '0123456789', 'abcdefghij') as box from orders),

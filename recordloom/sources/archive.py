@@ -7,6 +7,8 @@ buckets, so that a sender of a third of all mail is no single task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,18 +34,21 @@ def with_senders(mails: DataFrame) -> DataFrame:
     return mails.where(~legacy).withColumn("from_address", email).unionByName(named)
 
 
-def store(mails: DataFrame, name: str, path: str, buckets: int = 64, slots: int = 8) -> None:
-    """Write the indexes of ``mails`` (as ``mbox.messages`` gives them) below ``path`` as tables ``{name}_by_{index}``.
+def store(mails: DataFrame, name: str, path: str, buckets: int = 64, slots: int = 8, indexes: Sequence[str] = INDEXES) -> None:
+    """Write ``indexes`` of ``mails`` (as ``mbox.messages`` gives them) below ``path`` as tables ``{name}_by_{index}``.
 
     Rows are ``key, slot, message_id, date, subject``; empty and missing keys
     have none.  An empty archive gives empty tables.
     """
     persons = F.concat(F.transform(F.concat(F.array("sender"), "recipients", "copies"), lambda p: F.lower(p["email"])), F.array("from_address"))
-    slim = with_senders(mails.withColumns({c: F.coalesce(c, F.expr("array()").cast(mails.schema[c].dataType)) for c in ("recipients", "copies", "files")}))
-    slim = stored(slim.select("message_id", "date", "subject", "files", "from_address", F.array_distinct(F.array_compact(persons)).alias("persons")), "archive")
+    # Senders and participants cost a pass over all names of the archive, so only archives that are asked for them have it.
+    persons_asked = {"sender", "participant"} & set(indexes)
+    filled = mails.withColumns({c: F.coalesce(c, F.expr("array()").cast(mails.schema[c].dataType)) for c in ("recipients", "copies", "files")})
+    slim = with_senders(filled).select("message_id", "date", "subject", "files", "from_address", F.array_distinct(F.array_compact(persons)).alias("persons")) if persons_asked else filled.select("message_id", "date", "subject", "files")
+    slim = stored(slim, "archive")
     keys = {"id": F.col("message_id"), "source": F.explode(F.array_distinct("files")), "sender": F.col("from_address"), "participant": F.explode("persons")}
     spark = mails.sparkSession
-    for index in INDEXES:
+    for index in indexes:
         dealt = 1 if index == "id" else slots
         rows = slim.select(keys[index].alias("key"), F.pmod(F.xxhash64("message_id"), F.lit(dealt)).cast("int").alias("slot"), "message_id", "date", "subject").where("key <> ''")
         table = f"{name}_by_{index}"

@@ -39,3 +39,10 @@ def test_phone_cells_of_a_small_file_are_many_tasks(spark):
 
 def test_letters_are_not_sorted_by_a_lambda(spark):
     assert "lambdafunction" not in plan(entry.queries()["cell_conservation"](spark, SF))
+
+
+def test_an_archive_writes_the_indexes_it_is_asked_for(spark):
+    from recordloom.plans.archives import order_archive
+
+    name = order_archive(lambda table: spark.read.parquet(f"{SF}/{table}.parquet"), ("id", "source"))
+    assert [spark.catalog.tableExists(f"{name}_by_{index}") for index in ("id", "source", "sender", "participant")] == [True, True, False, False]
