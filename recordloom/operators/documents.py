@@ -9,7 +9,7 @@ at the places of its labels.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -99,9 +99,10 @@ KINDS: dict[str, Kind] = {
 
 def normal(text: Column) -> Column:
     """Full-width digits and points as plain ones, a full-width comma between digits too, and order numbers whose letter O was read as a zero."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "０１２３４５６７８９．", "0123456789.")
-    plain = F.regexp_replace(plain, r"(?<=\d)[，､](?=\d{3}\b)", ",")
-    return F.regexp_replace(plain, r"\bS0(\d{7})\b", r"SO$1")
+    # Most texts have nothing to change, and looking for it is much cheaper than rewriting them.
+    text = F.coalesce(text, F.lit(""))
+    plain = F.when(text.rlike("[０-９．，､]"), F.regexp_replace(F.translate(text, "０１２３４５６７８９．", "0123456789."), r"(?<=\d)[，､](?=\d{3}\b)", ",")).otherwise(text)
+    return F.when(text.contains("S") & text.rlike("S[0０]"), F.regexp_replace(plain, r"\bS0(\d{7})\b", r"SO$1")).otherwise(plain)
 
 
 def minor(text: Column) -> Column:
@@ -110,7 +111,22 @@ def minor(text: Column) -> Column:
 
 
 def _found(text: Column, patterns: Sequence[str]) -> Column:
-    return F.coalesce(*[F.nullif(F.trim(F.regexp_extract(text, p, 1)), F.lit("")) for p in patterns])
+    # Each pattern is sought once: ``nullif`` would work its first argument out twice.
+    return F.coalesce(*[F.get(F.filter(F.array(F.trim(F.regexp_extract(text, p, 1))), lambda x: x != ""), 0) for p in patterns])
+
+
+def _once(value: Column) -> Column:
+    """A column that is worked out where it stands: filters stay above it, and no use of it repeats it."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
+def _by_kind(kinds: Mapping[str, Kind], make: Callable[[Kind], Column | None]) -> Column:
+    """What ``make`` says for the row's kind; null for other kinds."""
+    out = F.when(F.lit(False), F.lit(None))
+    for name, k in kinds.items():
+        made = make(k)
+        out = out if made is None else out.when(F.col("kind") == name, made)
+    return out
 
 
 def _date(c: Column) -> Column:
@@ -126,26 +142,28 @@ def read(documents: DataFrame, key: str, text: str, kinds: Mapping[str, Kind] =
     has its net value first, the tax next and the total last.  Null texts are
     empty; repeated rows stay.
     """
-    rows = documents.select(F.col(key).alias("key"), normal(F.col(text)).alias("text"))
-    kind, number, date, currency, fields = (F.lit(None).cast("string") for _ in range(5))
-    amounts = {a: F.lit(None).cast("string") for a in ("net", "vat", "total")}
-    fields = F.lit(None).cast("map<string,string>")
+    rows = documents.select(F.col(key).alias("key"), _once(normal(F.col(text))).alias("text"))
+    kind = F.lit(None).cast("string")
     for name, k in reversed(list(kinds.items())):
         fits = F.lit(True)
         for mark in k.marks:
             fits = fits & F.col("text").rlike(mark)
         for f in k.needs:
             fits = fits & _found(F.col("text"), k.fields[f]).isNotNull()
-        value = lambda f, k=k: _found(F.col("text"), k.fields[f]) if f in k.fields else F.lit(None).cast("string")
-        own = [f for f in k.fields if f not in ("number", "date", "currency", "net", "vat", "total")]
-        more = F.map_filter(F.create_map(*[x for f in own for x in (F.lit(f), value(f))]), lambda _, v: v.isNotNull()) if own else F.create_map().cast("map<string,string>")
         kind = F.when(fits, F.lit(name)).otherwise(kind)
-        number, date, currency = (F.when(fits, v).otherwise(old) for v, old in ((value("number"), number), (_date(value("date")), date), (F.coalesce(value("currency"), F.lit("CNY")), currency)))
-        fields = F.when(fits, more).otherwise(fields)
-        amounts = {a: F.when(fits, value(a)).otherwise(old) for a, old in amounts.items()}
-    rows = rows.select("key", "text", kind.alias("kind"), number.alias("number"), date.alias("date"), currency.alias("currency"), *[v.alias(a) for a, v in amounts.items()], fields.alias("fields"))
+    # The kind is settled first, so that a text meets the patterns of its own kind only.
+    rows = rows.withColumn("kind", _once(kind))
+    value = lambda f: _by_kind(kinds, lambda k: _found(F.col("text"), k.fields[f]) if f in k.fields else None).cast("string")
+
+    def more(k: Kind) -> Column:
+        own = [f for f in k.fields if f not in ("number", "date", "currency", "net", "vat", "total")]
+        return F.map_filter(F.create_map(*[x for f in own for x in (F.lit(f), _found(F.col("text"), k.fields[f]))]), lambda _, v: v.isNotNull()) if own else F.create_map().cast("map<string,string>")
+
+    currency = F.when(F.col("kind").isNotNull(), F.coalesce(value("currency"), F.lit("CNY")))
+    rows = rows.select("key", "text", "kind", value("number").alias("number"), value("date").alias("date"), currency.alias("currency"), *[value(a).alias(a) for a in ("net", "vat", "total")], _by_kind(kinds, more).alias("fields"))
     listed = F.regexp_extract_all("text", F.lit(rf"{YEN}\s*{MONEY}"), F.lit(1))
-    by_place = F.when(F.col("kind").eqNullSafe("invoice") & (F.size(listed) >= 3), listed)
+    rows = rows.withColumn("listed", F.when(F.col("kind") == "invoice", listed))
+    by_place = F.when(F.size("listed") >= 3, F.col("listed"))
     names = F.regexp_extract_all("text", F.lit(r"名称\s*[:：]\s*([^\n]+?)(?=\s+名称|\n|$)"), F.lit(1))
     ids = F.regexp_extract_all("text", F.lit(r"\b([0-9A-Z]{18})\b"), F.lit(1))
     sides = F.create_map(
@@ -154,7 +172,7 @@ def read(documents: DataFrame, key: str, text: str, kinds: Mapping[str, Kind] =
     )
     fields = F.when(F.col("kind") == "invoice", F.map_concat("fields", F.map_filter(sides, lambda _, v: v.isNotNull()))).otherwise(F.col("fields"))
     return rows.select(
-        F.col("key").alias(key), "kind", "number", "date", "currency",
+        F.col("key").alias(key), "kind", "number", _date(F.col("date")).alias("date"), "currency",
         minor(F.coalesce(F.get(by_place, 0), "net")).alias("net_minor"), minor(F.coalesce(F.get(by_place, 1), "vat")).alias("vat_minor"),
         minor(F.coalesce(F.element_at(by_place, -1), "total")).alias("total_minor"), fields.alias("fields"), "text",
     )
@@ -169,29 +187,34 @@ def line_items(papers: DataFrame, key: str, kinds: Mapping[str, Kind] = KINDS) -
     if it has no figures of its own and the open one has none yet.  Lines behind the
     figures belong to no item.  Papers are told apart by ``key``, which is one row each.
     """
-    whole = None
-    for name, k in kinds.items():
-        if not k.items:
-            continue
-        lines = papers.where(F.col("kind") == name).select(key, F.posexplode(F.split("text", "\r?\n")).alias("at", "line"))
-        before, after = Window.partitionBy(key).orderBy("at"), Window.partitionBy(key).orderBy("at").rowsBetween(1, Window.unboundedFollowing)
-        over = F.max(F.col("line").rlike(k.items.ends)).over(before)
-        lines = lines.withColumn("over", over).where(~F.col("over"))
-        lines = lines.select(key, "at", "line", F.col("line").rlike(k.items.begins).alias("begins"), (F.col("line").rlike(k.items.figures)).alias("closes"))
-        # How many items have closed before a line: lines of one open stretch share that number.
-        closed = F.coalesce(F.sum(F.col("closes").cast("int")).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        lines = lines.withColumn("stretch", closed)
-        opened = F.max(F.col("begins").cast("int")).over(Window.partitionBy(key, "stretch").orderBy("at"))
-        lines = lines.withColumn("opened", opened).where("opened = 1")
-        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.trim("line").alias("line")))), lambda x: x["line"]), " ")
-        items = lines.groupBy(key, "stretch").agg(text.alias("all"), F.max("closes").alias("closes"), F.count("*").alias("lines")).where("closes")
-        figure = lambda n, k=k: F.regexp_extract("all", k.items.figures, list(k.items.names).index(n) + 1) if n in k.items.names else F.lit(None).cast("string")
-        items = items.select(
-            key, F.row_number().over(Window.partitionBy(key).orderBy("stretch")).alias("nth"), F.trim(F.regexp_replace("all", k.items.figures, "")).alias("text"),
-            F.regexp_replace(figure("quantity"), ",", "").cast("decimal(18,4)").alias("quantity"), minor(figure("unit")).alias("unit_minor"), minor(figure("net")).alias("net_minor"), figure("delivery").alias("delivery"), "lines",
-        )
-        whole = items if whole is None else whole.unionByName(items)
-    return whole
+    return _items(papers, [key], kinds).where("nth is not null").drop("kind")
+
+
+def _items(papers: DataFrame, keep: Sequence[str], kinds: Mapping[str, Kind]) -> DataFrame:
+    """``keep``, ``kind`` and the columns of an item for each item; a paper without items is one row of nulls.
+
+    A paper's lines stay in its row, so nothing is moved.
+    """
+    of = lambda make: _by_kind(kinds, lambda k: make(k.items) if k.items else None)
+    keep = list(dict.fromkeys([*keep, "kind"]))
+    rows = papers.select(*keep, of(lambda _: F.split("text", "\r?\n")).alias("lines__"))
+    end = F.array_position(F.transform("lines__", lambda x: of(lambda i: x.rlike(i.ends))), F.lit(True)).cast("int")
+    rows = rows.withColumn("lines__", _once(F.when(end > 0, F.slice("lines__", F.lit(1), end - 1)).otherwise(F.col("lines__"))))
+    closes = F.array_compact(F.transform("lines__", lambda x, n: F.when(of(lambda i: x.rlike(i.figures)), n + 1)))
+    rows = rows.withColumn("closes__", _once(closes))
+    # A stretch is what stands behind the figures before, up to the next ones; the item begins at its first line that can begin one.
+    before = lambda n: F.coalesce(F.get("closes__", n - 1), F.lit(0))
+    stretches = F.transform("closes__", lambda at, n: F.slice("lines__", before(n) + 1, at - before(n)))
+    begun = lambda s: F.array_position(F.transform(s, lambda x: of(lambda i: x.rlike(i.begins))), F.lit(True)).cast("int")
+    opened = F.filter(F.transform(stretches, lambda s: F.struct(s.alias("lines"), begun(s).alias("at"))), lambda s: s["at"] > 0)
+    rows = rows.withColumn("items__", _once(F.transform(opened, lambda s: F.slice(s["lines"], s["at"], F.size(s["lines"])))))
+    rows = rows.select(*keep, F.posexplode_outer("items__").alias("at__", "item__"))
+    rows = rows.select(*keep, (F.col("at__") + 1).alias("nth"), _once(F.array_join(F.transform("item__", lambda x: F.trim(x)), " ")).alias("all__"), F.when(F.col("item__").isNotNull(), F.size("item__")).cast("long").alias("lines"))
+    figure = lambda n: of(lambda i: F.regexp_extract("all__", i.figures, list(i.names).index(n) + 1) if n in i.names else None).cast("string")
+    return rows.select(
+        *keep, "nth", F.trim(of(lambda i: F.regexp_replace("all__", i.figures, ""))).alias("text"),
+        F.regexp_replace(figure("quantity"), ",", "").cast("decimal(18,4)").alias("quantity"), minor(figure("unit")).alias("unit_minor"), minor(figure("net")).alias("net_minor"), figure("delivery").alias("delivery"), "lines",
+    )
 
 
 def under_header(lines: DataFrame, keys: Sequence[str], at: str, line: str, labels: Sequence[str]) -> DataFrame:
@@ -230,8 +253,23 @@ def findings(papers: DataFrame, items: DataFrame, key: str) -> DataFrame:
     each item's quantity times price against its net value, and net plus tax
     against the total; and papers of a kind with items that have none.
     """
-    sums = items.groupBy(key).agg(F.sum("net_minor").alias("items_minor"), F.count_if(F.abs(F.col("quantity") * F.col("unit_minor") - F.col("net_minor")) > 1).alias("n_off"))
-    both = papers.select(key, "kind", "net_minor", "vat_minor", "total_minor").join(sums, key, "left")
+    sums = items.groupBy(key).agg(*_sums())
+    return _said(papers.select(key, "kind", "net_minor", "vat_minor", "total_minor").join(sums, key, "left"), key)
+
+
+def own_findings(papers: DataFrame, key: str, kinds: Mapping[str, Kind] = KINDS) -> DataFrame:
+    """The :func:`findings` of papers against the line items that they hold, in one pass: the papers are neither read twice nor joined with their items."""
+    stated = ["kind", "net_minor", "vat_minor", "total_minor"]
+    rows = papers.select(key, "text", "kind", *[F.col(c).alias(f"paper_{c}") for c in stated])
+    of = _items(rows, [key, *[f"paper_{c}" for c in stated]], kinds).groupBy(key, *[f"paper_{c}" for c in stated]).agg(*_sums())
+    return _said(of.select(key, *[F.col(f"paper_{c}").alias(c) for c in stated], "items_minor", "n_off"), key)
+
+
+def _sums() -> list[Column]:
+    return [F.sum("net_minor").alias("items_minor"), F.count_if(F.abs(F.col("quantity") * F.col("unit_minor") - F.col("net_minor")) > 1).alias("n_off")]
+
+
+def _said(both: DataFrame, key: str) -> DataFrame:
     with_items = F.col("kind").isin(*[n for n, k in KINDS.items() if k.items])
     stated = F.coalesce("net_minor", "total_minor")
     checks = [

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from recordloom.operators import accounts, rollups
+from recordloom.operators import accounts, documents, rollups
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,3 +46,14 @@ def test_an_archive_writes_the_indexes_it_is_asked_for(spark):
 
     name = order_archive(lambda table: spark.read.parquet(f"{SF}/{table}.parquet"), ("id", "source"))
     assert [spark.catalog.tableExists(f"{name}_by_{index}") for index in ("id", "source", "sender", "participant")] == [True, True, False, False]
+
+
+def test_lines_of_papers_stay_in_their_rows(spark):
+    rows = [(1, "Order Confirmation\nOrder NO.: SO1111111\n1 A\n 2 B 2.00 10.00 25.00 2026-01-01\nskipped\n3 C 1.00 1.00 1.00 2026-01-01\nNet Value: 30.00\nVAT: 3.00\nTotal Value: 30.00\n4 D 1.00 1.00 1.00 2026-01-01"), (2, "Order Confirmation\nOrder NO. SO2222222"), (3, "other"), (4, None)]
+    papers = documents.read(spark.createDataFrame(rows, "k int, body string"), "k", "body")
+    items = documents.line_items(papers, "k")
+    assert "Exchange" not in plan(items) and "Window" not in plan(items)
+    assert [(r.k, r.nth, r.text, r.lines) for r in items.orderBy("nth").collect()] == [(1, 1, "1 A 2 B", 2), (1, 2, "3 C", 1)]
+    got, apart = documents.own_findings(papers, "k"), documents.findings(papers, items, "k")
+    assert sorted(got.collect()) == sorted(apart.collect()) and "Join" not in plan(got)
+    assert {r.finding for r in got.where("k = 2").collect()} == {"no line items"}
