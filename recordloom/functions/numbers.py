@@ -16,29 +16,40 @@ def parse_number(text: Column) -> Column:
     both separators the last one is the decimal point; commas in groups of three
     group, any other comma is a decimal point; several points must group.
     """
+
+    def once(value: Column, then) -> Column:
+        # Worked out once, however often ``then`` uses it: written out, the expression would hold its first step hundreds of times.
+        return F.get(F.transform(F.array(value), then), 0)
+
+    def unsigned(s: Column) -> Column:
+        bracketed = s.rlike("^\\(.*\\)$")
+        return once(F.when(bracketed, F.regexp_replace(s, "^\\(|\\)$", "")).otherwise(s), lambda inner: trailed(bracketed, inner))
+
+    def trailed(bracketed: Column, s: Column) -> Column:
+        trailing = s.endswith("-")
+        return once(F.regexp_replace(s, "-$", ""), lambda rest: signed(bracketed.cast("int") + trailing.cast("int"), rest))
+
+    def signed(negative: Column, s: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(s, "^-", ""), "^\\++", "")
+        body = once(digits, lambda d: F.when(d.rlike("^[\\d.,']+$"), F.regexp_replace(d, "'", "")))
+        odd = (F.when(negative > 0, 1).otherwise(0) + s.startswith("-").cast("int")) % 2 == 1
+        return once(once(body, plain).try_cast("decimal(38,6)"), lambda value: F.when(odd, -value).otherwise(value))
+
+    def plain(body: Column) -> Column:
+        last_comma = F.length(body) - F.locate(",", F.reverse(body))
+        last_point = F.length(body) - F.locate(".", F.reverse(body))
+        return (
+            F.when(body.contains(",") & body.contains(".") & (last_comma > last_point), F.regexp_replace(F.regexp_replace(body, "\\.", ""), ",", "."))
+            .when(body.contains(",") & body.contains("."), F.regexp_replace(body, ",", ""))
+            .when(body.rlike("^\\d{1,3}(,\\d{3})+$"), F.regexp_replace(body, ",", ""))
+            .when(body.contains(","), F.regexp_replace(body, ",", "."))
+            .when(body.rlike("\\..*\\.") & body.rlike("^\\d{1,3}(\\.\\d{3})+$"), F.regexp_replace(body, "\\.", ""))
+            .when(body.rlike("\\..*\\."), F.lit(None).cast("string"))
+            .otherwise(body)
+        )
+
     s = F.regexp_replace(F.translate(text, FULL_WIDTH, HALF_WIDTH), "[\\s\\u00a0]", "")
-    s = F.regexp_replace(s, "(?i)rmb|cny|eur|usd|¥|€|\\$|元|￥", "")
-    bracketed = s.rlike("^\\(.*\\)$")
-    s = F.when(bracketed, F.regexp_replace(s, "^\\(|\\)$", "")).otherwise(s)
-    trailing = s.endswith("-")
-    s = F.regexp_replace(s, "-$", "")
-    leading = s.startswith("-")
-    s = F.regexp_replace(F.regexp_replace(s, "^-", ""), "^\\++", "")
-    body = F.when(s.rlike("^[\\d.,']+$"), F.regexp_replace(s, "'", ""))
-    last_comma = F.length(body) - F.locate(",", F.reverse(body))
-    last_point = F.length(body) - F.locate(".", F.reverse(body))
-    plain = (
-        F.when(body.contains(",") & body.contains(".") & (last_comma > last_point), F.regexp_replace(F.regexp_replace(body, "\\.", ""), ",", "."))
-        .when(body.contains(",") & body.contains("."), F.regexp_replace(body, ",", ""))
-        .when(body.rlike("^\\d{1,3}(,\\d{3})+$"), F.regexp_replace(body, ",", ""))
-        .when(body.contains(","), F.regexp_replace(body, ",", "."))
-        .when(body.rlike("\\..*\\.") & body.rlike("^\\d{1,3}(\\.\\d{3})+$"), F.regexp_replace(body, "\\.", ""))
-        .when(body.rlike("\\..*\\."), F.lit(None).cast("string"))
-        .otherwise(body)
-    )
-    value = plain.try_cast("decimal(38,6)")
-    negative = bracketed.cast("int") + trailing.cast("int")
-    return F.when((F.when(negative > 0, 1).otherwise(0) + leading.cast("int")) % 2 == 1, -value).otherwise(value)
+    return once(F.regexp_replace(s, "(?i)rmb|cny|eur|usd|¥|€|\\$|元|￥", ""), unsigned)
 
 
 def money(value: Column) -> Column:

@@ -60,7 +60,8 @@ class Labelled:
         return held.select(*SHEET, "row", "n", *[of(f).alias(f) for f in self.amounts])
 
     def read(self, cells: DataFrame) -> Reading:
-        return Reading(*families.read(cells, self.name))
+        # Records and review are parts of one reading, which is not made twice.
+        return Reading(*families.parted(stored(families.rows_read(cells, self.name), "rows"), self.name))
 
 
 @dataclass(frozen=True)

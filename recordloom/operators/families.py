@@ -93,16 +93,25 @@ def labelled(cells: DataFrame, family: Family) -> DataFrame:
 
 def read(cells: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """``(records, review)`` of one family: typed fields with ``file, sheet, row, issues, extra``; and the rows and values that need a look."""
+    return parted(rows_read(cells, name), name)
+
+
+def rows_read(cells: DataFrame, name: str) -> DataFrame:
+    """Every row below a header with its typed fields, ``unread`` values, ``reason`` (null for a record) and ``extra``: what :func:`parted` parts, and what to store where both parts are wanted."""
     family = FAMILIES[name]
     tidy = cells.withColumn("text", cell_text(F.col("text")))
     found = labelled(tidy, family)
     raw = headers.skip_reasons(headers.pivoted(tidy, found, family.fields), family.key, family.fields)
     raw = raw.join(headers.extras(tidy, found), [*SHEET, "row"], "left")
-    typed = [family.types[f](F.col(f)).alias(f) if f in family.types else F.col(f) for f in family.fields]
     unread = [F.when(F.col(f).isNotNull() & family.types[f](F.col(f)).isNull(), F.struct(F.lit(f).alias("field"), F.col(f).alias("value"))) for f in family.types]
     held = F.array_compact(F.array(*unread)) if unread else F.array().cast("array<struct<field:string,value:string>>")
-    rows = raw.withColumn("unread", held)
-    records = rows.where("reason is null").select(*SHEET, "row", *typed, F.transform("unread", lambda u: u["field"]).alias("issues"), "extra")
+    typed = [family.types[f](F.col(f)).alias(f) if f in family.types else F.col(f) for f in family.fields]
+    return raw.withColumn("unread", held).select(*SHEET, "row", *typed, "unread", "reason", "extra")
+
+
+def parted(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``(records, review)`` of the rows that :func:`rows_read` gives."""
+    records = rows.where("reason is null").select(*SHEET, "row", *FAMILIES[name].fields, F.transform("unread", lambda u: u["field"]).alias("issues"), "extra")
     line = lambda df, f, v, why: df.select(*SHEET, "row", f.alias("field"), v.alias("value"), why.alias("reason"))
     skipped = line(rows.where("reason is not null"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("reason"))
     values = rows.where("reason is null").select(*SHEET, "row", F.explode("unread").alias("u"))

@@ -57,3 +57,9 @@ def test_lines_of_papers_stay_in_their_rows(spark):
     got, apart = documents.own_findings(papers, "k"), documents.findings(papers, items, "k")
     assert sorted(got.collect()) == sorted(apart.collect()) and "Join" not in plan(got)
     assert {r.finding for r in got.where("k = 2").collect()} == {"no line items"}
+
+
+def test_a_number_is_cleaned_once(spark):
+    from recordloom.functions.numbers import parse_number
+
+    assert str(parse_number(F.col("t"))).count("translate(") == 1
