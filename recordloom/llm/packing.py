@@ -24,6 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 #: White space as the tokenizer's normalizer has it; no token crosses it.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -103,14 +105,9 @@ class Encoder:
         return [(self._ids(t) if w else b"".join(map(code, parts))) + self.end for w, t, parts in zip(whole, texts, cut, strict=True)]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def _encoder(path: str, end_id: int) -> Encoder:
-    """One for each Python worker, which runs many tasks."""
-    if (path, end_id) not in _ENCODERS:
-        _ENCODERS[path, end_id] = Encoder(path, end_id)
-    return _ENCODERS[path, end_id]
+    """One for each Python worker, which runs many tasks; tasks of other operators let it go."""
+    return kept(("encoder", path, end_id), lambda: Encoder(path, end_id))
 
 
 class Packer:

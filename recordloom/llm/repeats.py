@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .kernels import blocks
-from .shared import stored
+from .shared import kept, let_go, stored
 
 WIDTH = 100
 GRAM = 32
@@ -48,7 +48,6 @@ _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 _BYTES = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, 512, dtype=np.uint64).reshape(2, 256)
 _STEPS = np.random.Generator(np.random.PCG64(12)).integers(1, 2**63, 8, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
-_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,15 +59,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2**64."""
     size = 1 << max(16, (n - 1).bit_length())
-    if size not in _TABLES:
-        _TABLES.clear()
-        both = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            both.append(np.cumprod(steps, dtype=np.uint64))
-        _TABLES[size] = (both[0], both[1])
-    return _TABLES[size]
+
+    def of(base: int) -> np.ndarray:
+        steps = np.full(size, base, dtype=np.uint64)
+        steps[0] = 1
+        return np.cumprod(steps, dtype=np.uint64)
+
+    return kept(("powers", size), lambda: (of(_BASE), of(pow(_BASE, -1, 1 << 64))))
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, ...]:
@@ -107,7 +104,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.
         return text[lo], lo - offsets[text[lo]], count, place, grams[anchor], _mix(content)
 
 
-def segments(column: pa.Array, ids: np.ndarray, width: int, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def segments(column: pa.Array, ids: np.ndarray, width: int, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """``(ids, place of each piece in its text, bytes, offsets)``; a long text comes in pieces that share ``width - 1`` bytes, so every window lies in one piece."""
     for row, data, offsets in blocks(column, most):
         own = ids[row : row + len(offsets) - 1]
@@ -139,7 +136,7 @@ def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 _ANCHORS = "h long, c long, doc long, lo long, n long, place int"
 
 
-def anchors(docs: DataFrame, width: int, flush: int = 600_000) -> DataFrame:
+def anchors(docs: DataFrame, width: int, flush: int = 300_000) -> DataFrame:
     """Runs of all texts (``_ANCHORS``); of equal runs in a task only the earliest.  The others are rows with a null ``c``, the span being ``n`` bytes from ``lo``."""
 
     def out(parts: list[tuple]) -> pa.RecordBatch:
@@ -173,6 +170,7 @@ def anchors(docs: DataFrame, width: int, flush: int = 600_000) -> DataFrame:
                 if rows >= flush:
                     yield out(parts)
                     parts, rows = [], 0
+        let_go()
         if parts:
             yield out(parts)
 

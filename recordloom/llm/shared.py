@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_KEPT: dict[Hashable, Any] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,3 +48,16 @@ def dropped(df: DataFrame) -> None:
     for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(parent)
         path.getFileSystem(conf).delete(path, True)
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from one task to the next: only what was asked for last.  A worker runs tasks of many stages and would else hold what all of them keep."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Drop what earlier tasks of this worker kept; for tasks that need the memory and keep nothing."""
+    _KEPT.clear()

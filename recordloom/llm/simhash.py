@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import dropped, stored
+from .shared import dropped, let_go, stored
 
 SEED = 42
 FAN = 16
@@ -270,6 +270,7 @@ def sketches(rows: DataFrame, words: int) -> DataFrame:
     """``doc_id, node, size, fp, keys`` for each of ``rows`` (``doc_id, text``); ``node`` stands for the set of shingles, ``fp`` is its fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             got = [shingle_set(texts[k].as_py() or b"", words) for k in range(len(texts))]

@@ -1,6 +1,9 @@
 """Empty tables, null ids and texts, a very long text and clashing columns, through every operator on documents."""
 
+import weakref
+
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +80,16 @@ def test_messages_and_shards_without_rows(spark, tmp_path):
     sharding.append(docs(spark, [(None, None), (1, "a"), (1, "a")]), base)
     sharding.compact(spark, base)
     assert sharding.read(spark, base).count() == 3 and sharding.read(spark, base).columns == SCHEMA.replace(" long", "").replace(" string", "").replace(" int", "").split(", ")
+
+
+def test_a_worker_lets_an_encoder_go_for_the_next_stage():
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a text of its own. " * 20] * 2)], ["doc", "text"])
+    for stage in (repeats.anchors(Docs(), 100), simhash.sketches(Docs(), 5)):
+        encoder = weakref.ref(packing._encoder(TOKENS, 1))
+        assert packing._encoder(TOKENS, 1) is encoder()
+        assert sum(b.num_rows for b in stage(iter([batch])))
+        assert encoder() is None
