@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_key, person_key
+from ..sources.shared import stored
 
 PLAN = "stage int, kind string, action string, ref string, company string, contact string, fields map<string,string>, phones array<string>, emails array<string>, stamp string"
 
@@ -51,8 +52,9 @@ def stand_in(kind: str, *parts: Column) -> Column:
     return F.concat(F.lit(f"new:{kind}:"), F.substring(F.sha2(F.concat_ws("\x1f", *parts), 256), 1, 24))
 
 
-def _as_text(fields: Column) -> Column:
-    return F.to_json(F.array_sort(F.map_entries(F.map_filter(fields, lambda _, v: v.isNotNull()))))
+def _entries(fields: Column) -> Column:
+    """What can be compared: maps cannot."""
+    return F.sort_array(F.map_entries(F.map_filter(fields, lambda _, v: v.isNotNull())))
 
 
 def company_refs(wanted: DataFrame, held: DataFrame) -> DataFrame:
@@ -83,14 +85,15 @@ def plan(wanted: Wanted, held: State) -> DataFrame:
     ``same``.  Stage 3, records: ``create``, ``update``, ``newer`` (the target has a
     later stamp), ``same``, ``orphan`` (its company is not among the wanted).
     Several keys that mean one record are one row; their values are taken together,
-    of two values of a field the least.
+    of two values of a field the least.  What the companies and people are is written
+    once, since each later stage refers to it.
     """
     none = F.lit(None).cast("string")
     empty, no_fields = F.array().cast("array<string>"), F.create_map().cast("map<string,string>")
     row = lambda df, stage, kind, action, ref, company=none, contact=none, fields=no_fields, phones=empty, emails=empty, stamp=none: df.select(
         F.lit(stage).alias("stage"), kind.alias("kind"), action.alias("action"), ref.alias("ref"), company.alias("company"), contact.alias("contact"), fields.alias("fields"), phones.alias("phones"), emails.alias("emails"), stamp.alias("stamp")
     )
-    refs = company_refs(wanted.companies, held.companies)
+    refs = stored(company_refs(wanted.companies, held.companies), "company-refs")
     said = wanted.companies.join(refs, "key").select("ref", "is_new", "name", F.explode_outer("fields").alias("field", "value"))
     one = said.groupBy("ref", "is_new", "field").agg(F.min("value").alias("value"), F.min("name").alias("name"))
     has = held.companies.select(F.col("id").alias("ref"), F.explode("fields").alias("field", "have")).where("have is not null")
@@ -105,7 +108,7 @@ def plan(wanted: Wanted, held: State) -> DataFrame:
     out = row(merged, 1, F.lit("company"), state, F.col("ref"), fields=named)
     out = out.unionByName(row(merged.where("size(clash) > 0 and not is_new"), 1, F.lit("company"), F.lit("conflict"), F.col("ref"), fields=F.col("clash")))
 
-    people = contact_refs(wanted.contacts, refs, held.contacts)
+    people = stored(contact_refs(wanted.contacts, refs, held.contacts), "contact-refs")
     each = people.groupBy("ref", "company", "is_new").agg(
         F.min("name").alias("name"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("phones")))).alias("phones"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("emails")))).alias("emails"),
     )
@@ -118,11 +121,16 @@ def plan(wanted: Wanted, held: State) -> DataFrame:
 
     whose = refs.select(F.col("key").alias("company_key"), F.col("ref").alias("company"))
     who = people.select(F.col("key").alias("contact_key"), F.col("ref").alias("contact"))
-    notes = wanted.records.join(whose, "company_key", "left").join(who, "contact_key", "left")
-    old = held.records.select("id", F.struct("company", "contact", _as_text(F.col("fields")).alias("f")).alias("h"), F.col("stamp").alias("held_stamp"))
-    notes = notes.join(old, "id", "left")
-    same = F.struct("company", "contact", _as_text(F.col("fields")).alias("f")).eqNullSafe(F.col("h"))
-    decided = F.when(F.col("company").isNull(), "orphan").when(F.col("h").isNull(), "create").when(same, "same").when(F.col("held_stamp") > F.col("stamp"), "newer").otherwise("update")
+    # Fields meet what is held first (and are compared only there); keys and the answer are moved on to the companies and people.  Records of nobody have no key to meet people on.
+    old = held.records.select("id", F.struct("company", "contact").alias("h"), F.col("fields").alias("held_fields"), F.col("stamp").alias("held_stamp"))
+    notes = wanted.records.join(old, "id", "left")
+    alike = F.when(F.col("h").isNotNull(), _entries(F.col("fields")).eqNullSafe(_entries(F.col("held_fields"))))
+    notes = notes.select("id", "kind", "company_key", "contact_key", "fields", "stamp", "h", alike.alias("alike"), (F.col("held_stamp") > F.col("stamp")).alias("later"))
+    notes = notes.join(whose, "company_key", "left")
+    nobody = notes.where("contact_key is null").withColumn("contact", none)
+    notes = notes.where("contact_key is not null").join(who, "contact_key", "left").unionByName(nobody)
+    same = F.col("alike") & F.struct("company", "contact").eqNullSafe(F.col("h"))
+    decided = F.when(F.col("company").isNull(), "orphan").when(F.col("h").isNull(), "create").when(same, "same").when(F.col("later"), "newer").otherwise("update")
     return out.unionByName(row(notes, 3, F.col("kind"), decided, F.col("id"), F.col("company"), F.col("contact"), F.col("fields"), stamp=F.col("stamp")))
 
 
@@ -174,15 +182,17 @@ _RECORDS = "id string, kind string, company_key string, contact_key string, fiel
 def visits(rows: DataFrame) -> Wanted:
     """Visits (``visit_id, customer, city, potential, person, phone, email, day, purpose, step, due, cutoff``): companies, people, one note a visit, and a task for each next step, done if due before the cutoff."""
     listed = lambda c: F.array_compact(F.array(c))
-    key = fold_key(F.col("customer"))
-    rows = rows.withColumn("company_key", key).withColumn("contact_key", F.when(F.col("person").isNotNull(), F.concat_ws("\x1f", "company_key", person_key(F.col("person")))))
+    rows = rows.select("visit_id", "customer", "city", "potential", "person", "phone", "email", "day", "purpose", "step", "due", "cutoff", fold_key(F.col("customer")).alias("company_key"))
+    rows = rows.withColumn("contact_key", F.when(F.col("person").isNotNull(), F.concat_ws("\x1f", "company_key", person_key(F.col("person")))))
+    rows = stored(rows, "visits")  # names are folded once, not by each use
     companies = rows.groupBy(F.col("company_key").alias("key")).agg(F.array(F.min_by("customer", F.struct("day", "visit_id"))).alias("names"), _map(city=F.max_by("city", F.when(F.col("city").isNotNull(), F.col("day"))), potential=F.max_by("potential", F.when(F.col("potential").isNotNull(), F.col("day")))).alias("fields"))
     contacts = rows.where("contact_key is not null").groupBy(F.col("contact_key").alias("key"), "company_key").agg(F.min("person").alias("name"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(listed(F.col("phone")))))).alias("phones"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(listed(F.col("email")))))).alias("emails"))
-    record = lambda part, kind, fields, suffix="": part.select(F.concat("visit_id", F.lit(suffix)).alias("id"), F.lit(kind).alias("kind"), "company_key", "contact_key", fields.alias("fields"), F.col("day").cast("string").alias("stamp"))
-    notes = record(rows, "note", _map(day=F.col("day"), purpose=F.col("purpose")))
+    record = lambda kind, fields, suffix="": F.struct(F.concat("visit_id", F.lit(suffix)).alias("id"), F.lit(kind).alias("kind"), fields.alias("fields"))
+    note = record("note", _map(day=F.col("day"), purpose=F.col("purpose")))
     done = F.when(F.col("due") < F.col("cutoff"), "done").otherwise("open")
-    tasks = record(rows.where("step is not null"), "task", _map(text=F.col("step"), due=F.col("due"), state=done), "#step")
-    return Wanted(companies, contacts, notes.unionByName(tasks))
+    task = F.when(F.col("step").isNotNull(), record("task", _map(text=F.col("step"), due=F.col("due"), state=done), "#step"))
+    records = rows.select(F.explode(F.array(note, task)).alias("r"), "company_key", "contact_key", F.col("day").cast("string").alias("stamp")).where("r is not null")
+    return Wanted(stored(companies, "companies"), stored(contacts, "contacts"), records.select("r.id", "r.kind", "company_key", "contact_key", "r.fields", "stamp"))
 
 
 def accounts(rows: DataFrame) -> Wanted:

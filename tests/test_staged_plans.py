@@ -92,3 +92,13 @@ def test_todos_without_a_company_and_nothing_read(spark):
     empty = sp.visits(spark.createDataFrame([], VISITS))
     assert sp.plan(empty, state(spark, [("C1", "Alpha", {})])).count() == 0
     assert {(r.stage, r.kind, r.action, r.n) for r in sp.counts(sp.plan(visits(spark), state(spark))).collect()} == {(1, "company", "create", 2), (2, "contact", "create", 2), (3, "note", "create", 4), (3, "task", "create", 2)}
+
+
+def test_visits_are_folded_once_and_records_of_nobody_meet_nobody(spark):
+    held = state(spark, [("C1", "Kestrel", {})], [("P1", "C1", "Someone", ["+492"], [])], [("v3", "note", None, None, {"day": "2026-05-04"}, "2020-01-01")])
+    plan = sp.plan(visits(spark), held)
+    text = plan._jdf.queryExecution().toString().split("== Physical Plan ==")[-1]
+    assert "nfkc" not in text and "to_json" not in text
+    # Records without a person are read apart from those that are joined with people.
+    assert "isnull(contact_key" in text and "isnotnull(contact_key" in text
+    assert {(r.ref, r.action, r.contact) for r in plan.where("stage = 3").collect() if r.contact is None} == {("v3", "update", None)}
