@@ -69,7 +69,7 @@ def near_contains(a: Column, b: Column) -> Column:
     return (a.contains(b) | b.contains(a)) & (5 * short >= 4 * long)
 
 
-def grams(text: Column, n: int) -> Column:
+def grams(text: Column, n: int | Column) -> Column:
     """Distinct runs of ``n`` characters; of a shorter text itself."""
     last = F.length(text) - n + 1
     runs = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))

@@ -156,13 +156,14 @@ def company_cascade_in_two_scripts(t):
     """Every way through the cascade: Chinese names spelled in Latin letters (by either reading, or their beginning), a code beside another name,
     twins, places apart, names of one place only, answers given before, and what the one-script query has."""
     key, h = F.col("c_custkey"), F.md5(F.col("c_custkey").cast("string"))
-    letters = F.array(*[F.lit(chr(0x4E00 + n)) for n in range(256)])
-    ways = [F.array(*[F.lit(syllable(n + 37 * (k and n % 4 == 0))) for n in range(256)]) for k in (0, 1)]
     numbers = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring("h", 2 * i + 1, F.lit(2)), 16, 10).cast("int"))
-    said = lambda table, n: F.array_join(F.transform(F.slice("b", 1, n), lambda x: F.get(table, x)), "")
+    spoken = lambda x: F.concat(F.substring(F.lit(_CONSONANTS), x % 16 + 1, F.lit(1)), F.substring(F.lit("".join(_VOWELS)), F.floor(x / 16).cast("int") % 5 + 1, F.lit(1)))
+    ways = [spoken, lambda x: spoken(x + F.when(x % 4 == 0, 37).otherwise(0))]
+    said = lambda way, n: F.array_join(F.transform(F.slice("b", 1, n), way), "")
     c = t("customer").select(key, (key % 2 == 0).alias("han"), (F.floor(key / 2) % 9).alias("k"), F.concat(F.lit("CR"), F.lpad(key.cast("string"), 7, "0")).alias("code"), h.alias("h"))
     c = c.withColumns({"w": F.translate(F.substring("h", 1, 14), "0123456789abcdef", _LETTERS), "b": numbers})
-    c = c.withColumn("cn", F.array_join(F.transform("b", lambda x: F.get(letters, x)), ""))
+    # The letters from U+4E00 on, by their numbers.
+    c = c.withColumn("cn", F.decode(F.unhex(F.regexp_replace(F.substring("h", 1, 16), "(..)", "4e$1")), "UTF-16BE"))
     cut = lambda a, b: F.substring("w", a, b)
     plain, k, written = F.concat(cut(1, 8), F.lit(" "), cut(9, 6)), F.col("k"), None
     digits = lambda text: F.translate(key.cast("string"), "0123456789", text)
