@@ -133,7 +133,7 @@ n as (
 s as (
   select *, array_to_string([chr(19968 + x) for x in b], '') as cn,
          [substr('{_CONSONANTS}', x % 16 + 1, 1) || substr('aeiou', x // 16 % 5 + 1, 1) for x in b] as first,
-         [substr('{_CONSONANTS}', (x + 37) % 16 + 1, 1) || substr('aeiou', (x + 37) // 16 % 5 + 1, 1) for x in b] as second, len([x for x in b if x % 4 = 0]) as doubles from n),
+         [substr('{_CONSONANTS}', (x + 37) % 16 + 1, 1) || substr('aeiou', (x + 37) // 16 % 5 + 1, 1) for x in b] as second from n),
 f as (
   select *, case when k = 6 then 'Shanghai ' else '' end || w[:8] || ' ' || w[9:] || ' Ltd' as latin,
          case when han then case k when 0 then cn || '有限公司' when 1 then array_to_string(first, '') when 2 then array_to_string([case when b[i] % 4 = 0 then second[i] else first[i] end for i in range(1, 9)], '')
@@ -142,10 +142,10 @@ f as (
                 when 5 then w[:12] when 6 then 'Beijing ' || w[:8] || ' ' || w[9:] when 7 then repeat('?', key % 5 + 1) when 8 then 'Hong Kong' else w[:8] || ' ' || w[9:] || ' Ltd' end end as written
   from s)
 select distinct written,
-       case when han and k in (1, 2, 3) and doubles > 6 then null when han and k in (0, 1, 2, 3, 4, 5) or not han and k in (0, 1, 3, 5) then code end as code,
-       case when han and k in (1, 2, 3) and doubles > 6 then 1.0 when han and k in (1, 2) then 0.95 when han and k in (3, 4) or not han and k = 5 then 0.9 when han and k = 5 then round(200 * 7 / 15.0 * 0.95 / 100, 4)
+       case when han and k in (0, 1, 2, 3, 4, 5) or not han and k in (0, 1, 3, 5) then code end as code,
+       case when han and k in (1, 2) then 0.95 when han and k in (3, 4) or not han and k = 5 then 0.9 when han and k = 5 then round(200 * 7 / 15.0 * 0.95 / 100, 4)
             when not han and k = 3 then round(200 * 13 / 27.0 * 0.95 / 100, 4) when not han and k = 2 then 0.8 when not han and k = 6 then 0.89 when han and k = 6 or not han and k = 7 then 0.0 else 1.0 end::double as score,
-       case when han then case k when 0 then 'exact' when 4 then 'contains' when 5 then 'fuzzy' when 6 then 'ambiguous' when 7 then 'new' when 8 then 'new' else case when doubles > 6 then 'new' else 'pinyin' end end
+       case when han then case k when 0 then 'exact' when 4 then 'contains' when 5 then 'fuzzy' when 6 then 'ambiguous' when 7 then 'new' when 8 then 'new' else 'pinyin' end
             else case k when 1 then 'code' when 2 then 'review' when 3 then 'fuzzy' when 4 then 'new' when 5 then 'contains' when 6 then 'review' when 7 then 'none' when 8 then 'new' else 'exact' end end as method
 from f
 """
